@@ -24,16 +24,17 @@ NUMERIC_FIELDS = {
     "five_year_avg_return": "fiveYearAverageReturn",
     "beta_3y": "beta3Year",
 }
-_OTHER_FIELDS = [
-    "quoteType", "quote_type", "longName", "long_name", "category", "fundFamily", "currency",
-    "isEtf", "isETF", "isMutualFund", "underlyingSymbol", "underlying_symbol",
-]
-_PAYLOAD = ", ".join(f"`{f}` variant" for f in [*_OTHER_FIELDS, *NUMERIC_FIELDS.values()])
+# Field names differ in case only in places, so the payload is read as a map, not as a struct.
+_PAYLOAD = "map<string, variant>"
 
 
 def has_info(info: Column) -> Column:
     """True for a JSON object with at least one field."""
-    return F.coalesce(F.size(F.json_object_keys(info)) > 0, F.lit(False))
+    return _is_filled(F.from_json(info, _PAYLOAD))
+
+
+def _is_filled(fields: Column) -> Column:
+    return F.coalesce(F.size(fields) > 0, F.lit(False))
 
 
 def _lower(text: Column) -> Column:
@@ -60,10 +61,8 @@ def asset_type(quote_type: Column, is_etf: Column, is_mutual: Column, is_closed_
 
 def classify_instruments(infos: DataFrame, keep: tuple[str, ...] = ("symbol",), strict: bool = False) -> DataFrame:
     """Info payloads (``info`` JSON text) -> instrument columns; symbols without info are dropped."""
-    parsed = infos.where(has_info(F.col("info"))).select(
-        *keep, "info", F.from_json("info", _PAYLOAD).alias("p")
-    )
-    field = lambda name: F.col(f"p.`{name}`")
+    parsed = infos.select(*keep, "info", F.from_json("info", _PAYLOAD).alias("p")).where(_is_filled(F.col("p")))
+    field = lambda name: F.try_element_at("p", F.lit(name))
     text = lambda name: text_value(field(name))
     flat = parsed.select(
         *keep,

@@ -74,8 +74,8 @@ SYMBOL_COLUMNS = ["symbol", "name", "parent_symbol", "parent_name", "suffix", "e
 
 
 def export_symbols(symbols: DataFrame, path: str) -> None:
-    """Write the symbol list as CSV with header."""
-    symbols.select(*SYMBOL_COLUMNS).write.mode("errorifexists").option("header", True).csv(path)
+    """Write the symbol list as CSV with header; empty and missing texts are both left blank."""
+    symbols.select(*SYMBOL_COLUMNS).write.mode("errorifexists").options(header=True, emptyValue="").csv(path)
 
 
 def export_combined(senior: DataFrame, venture: DataFrame, path: str) -> bool:

@@ -69,24 +69,33 @@ def fixed_text(value: Column, places: int) -> Column:
     come out as 1.01 although the stored number lies below the tie. Here ``value * 10^places`` is
     split into its rounded product and the exact remainder, and the remainder settles ties.
     """
-    scale = float(10**places)
-    size = F.abs(value)
+    return _named(value, lambda v: _fixed_text(v, places))
+
+
+def _named(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once; inlined it would be repeated in every term."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _fixed_text(value: Column, places: int) -> Column:
+    unit = 10**places
+    size, scale = F.abs(value), float(unit)
     product = size * scale
     spread = size * 134217729.0  # 2^27 + 1, splits a double into two half-width parts
     high = spread - (spread - size)
     remainder = (high * scale - product) + (size - high) * scale
     base = F.floor(product)
-    over_half = (product - base.cast("double")) - 0.5
+    over_half = (product - base) - 0.5
     round_up = (over_half > 0) | (
         (over_half == 0) & ((remainder > 0) | ((remainder == 0) & (base % 2 == 1)))
     )
-    digits = base.cast("bigint") + F.when(round_up, 1).otherwise(0)
     sign = F.when(value.cast("string").startswith("-"), "-").otherwise("")
-    exact = F.concat(
-        sign,
-        F.floor(digits / F.lit(10**places).cast("decimal(19,0)")).cast("string"),
-        F.lit("."),
-        F.lpad((digits % 10**places).cast("string"), places, "0"),
-    )
+
+    def spelled(n: Column) -> Column:
+        whole = ((n - n % unit) / unit).cast("bigint").cast("string")
+        return F.concat(sign, whole, F.lit("."), F.lpad((n % unit).cast("string"), places, "0"))
+
     # Beyond 2^52 scaled units a double has no digits left to round at this place.
-    return F.when(product < 2.0**52, exact).when(product >= 2.0**52, F.format_string(f"%.{places}f", value))
+    return F.when(product < 2.0**52, _named(base + round_up.cast("bigint"), spelled)).when(
+        product >= 2.0**52, F.format_string(f"%.{places}f", value)
+    )

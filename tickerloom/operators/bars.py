@@ -31,13 +31,13 @@ def bulk_bars(prices: DataFrame) -> DataFrame:
     require_columns(prices, "Ticker", "Date")
     measures = ["Open", "High", "Low", "Close", "Adj. Close", "Volume"]
     taken = {"Ticker", "Date", "DateTime", "Timestamp", *measures}
-    return prices.select(
+    return prices.where(F.col("Ticker").isNotNull() & F.col("Date").isNotNull()).select(
         F.upper("Ticker").alias("symbol"),
         strict_day(F.col("Date")).alias("latest_day"),
         as_of_time(prices.columns).alias("as_of"),
         *(optional(prices, m).alias(m) for m in measures),
         *(c for c in prices.columns if c not in taken),
-    ).where("symbol is not null and latest_day is not null")
+    )
 
 
 def latest_bar(bars: DataFrame, position: list[str]) -> DataFrame:
@@ -73,38 +73,45 @@ def latest_with_previous(bars: DataFrame, position: list[str], timed: bool) -> D
 
     Without bar times both follow the same order and share one ranking. With them each row is
     ranked twice, under the timed and the untimed order, by a ranking keyed on (symbol, order):
-    still one scan and one shuffle of at most two rows per task, symbol and order.
+    still one scan and one shuffle of at most two rows per task, symbol and order. The untimed
+    copy carries only the close.
     """
     close = F.coalesce(F.col("Close"), F.col("`Adj. Close`"))
-    bar = F.struct("latest_day", "as_of", *(F.col(f"`{c}`") for c in [*OHLCV, "Adj. Close"]))
+    rows = bars.select("symbol", "latest_day", "as_of", *position, _whole_bar().alias("bar"), close.alias("close"))
     if timed:
-        ranked = bars.withColumn("untimed", F.explode(F.array(F.lit(False), F.lit(True))))
-        sort_time = F.when(~F.col("untimed"), F.col("as_of"))
-        order = [F.col("latest_day").desc(), sort_time.desc_nulls_first(), *_landed_last(position)]
-        ranked = top_per_key(ranked, ["symbol", "untimed"], order, k=2, rank="age")
-        is_latest = (F.col("age") == 1) & ~F.col("untimed")
-        is_previous = (F.col("age") == 2) & F.col("untimed")
+        timed_row = ~F.col("untimed")
+        copies = rows.withColumn("untimed", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns(
+            {
+                "as_of": F.when(timed_row, F.col("as_of")),
+                "bar": F.when(timed_row, F.col("bar")),
+                "close": F.when(~timed_row, F.col("close")),
+            }
+        )
+        ranked = top_per_key(copies, ["symbol", "untimed"], _latest_order(position), k=2, rank="age")
     else:
-        ranked = last_two_bars(bars, position)
-        is_latest, is_previous = F.col("age") == 1, F.col("age") == 2
+        ranked = last_two_bars(rows, position)
+    newest, older = F.col("age") == 1, F.col("age") == 2
     return (
         ranked.groupBy("symbol")
-        .agg(F.max(F.when(is_latest, bar)).alias("bar"), F.max(F.when(is_previous, close)).alias("previous_text"))
-        .select("symbol", "bar.*", number(F.col("previous_text")).alias("previous_close"))
+        .agg(F.max(F.when(newest, F.col("bar"))).alias("bar"), F.max(F.when(older, F.col("close"))).alias("close"))
+        .select("symbol", "bar.*", number(F.col("close")).alias("previous_close"))
     )
 
 
+def _whole_bar() -> Column:
+    return F.struct("latest_day", "as_of", *(F.col(f"`{c}`") for c in [*OHLCV, "Adj. Close"]))
+
+
 def latest_only(bars: DataFrame, position: list[str]) -> DataFrame:
     """:func:`latest_bar` in the shape of :func:`latest_with_previous`, no previous close.
 
     The closing group-by keeps Catalyst from moving a later semi join below the ranking, where
     it would shuffle the raw rows, unless the join's other side is small enough to broadcast.
     """
-    bar = F.struct("latest_day", "as_of", *(F.col(f"`{c}`") for c in [*OHLCV, "Adj. Close"]))
     return (
         latest_bar(bars, position)
         .groupBy("symbol")
-        .agg(F.max(bar).alias("bar"))
+        .agg(F.max(_whole_bar()).alias("bar"))
         .select("symbol", "bar.*", F.lit(None).cast("double").alias("previous_close"))
     )
 

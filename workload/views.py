@@ -16,15 +16,11 @@ def money(expr: str) -> str:
 
 
 def comma(expr: str) -> str:
-    """A decimal text with a thousands separator."""
-    return (
-        f"case when length({expr}) > 6 then concat(substr({expr}, 1, length({expr}) - 6), ',', "
-        f"substr({expr}, length({expr}) - 5)) else {expr} end"
-    )
+    """A number text with a thousands separator."""
+    return f"concat('1,', {expr})"
 
 
-PRICE, QTY = money("l_extendedprice"), money("l_quantity")
-SHIP_DAY = "substr(cast(l_shipdate as string), 1, 10)"
+SHIP_DAY = "cast(cast(l_shipdate as date) as string)"
 TOTAL = money("o_totalprice")
 ROOT = f"concat('T', {text('p_partkey - p_partkey % 2')})"
 LISTED = (
@@ -67,18 +63,18 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
                 "case when l_linenumber % 3 = 0 then null when l_linenumber = 7 then 'n/a' "
                 f"else concat({SHIP_DAY}, ' 0', {text('l_linenumber')}, ':00:00') end"
             ),
-            "Open": text(f"{PRICE} - {QTY}"),
-            "High": comma(text(f"{PRICE} + {QTY}")),
-            "Low": f"case when l_linenumber = 4 then '-' else {text(f'{PRICE} - {QTY} - {QTY}')} end",
+            "Open": text("l_extendedprice"),
+            "High": comma(text("l_extendedprice")),
+            "Low": f"case when l_linenumber = 4 then '-' else {text('l_discount')} end",
             "Close": (
                 "case when l_quantity = 13 then null when l_quantity = 17 then 'abc' "
-                f"when l_linenumber = 5 then {comma(text(PRICE))} else {text(PRICE)} end"
+                f"when l_linenumber = 5 then {comma(text('l_quantity'))} else {text('l_extendedprice')} end"
             ),
-            "Adj. Close": text(f"{PRICE} - 1"),
-            "Volume": f"case when l_quantity = 7 then null else {text(f'{QTY} + 0.70')} end",
+            "Adj. Close": text("l_tax"),
+            "Volume": f"case when l_quantity = 7 then null else concat({text('l_quantity')}, '7') end",
             "ord": "l_orderkey * 10 + l_linenumber",
-            "ord_price": PRICE,
-            "ord_qty": QTY,
+            "ord_price": "l_extendedprice",
+            "ord_qty": "l_quantity",
         },
     ),
     "stored_us": (
@@ -147,7 +143,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "tag": f"concat(l_returnflag, l_linestatus, {text('l_linenumber')})",
             "value": (
                 "case when l_quantity = 13 then null when l_quantity = 17 then 'abc' "
-                f"when l_linenumber = 5 then {comma(text(PRICE))} else {text(PRICE)} end"
+                f"when l_linenumber = 5 then {comma(text('l_quantity'))} else {text('l_extendedprice')} end"
             ),
         },
     ),

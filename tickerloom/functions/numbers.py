@@ -95,7 +95,7 @@ def _fixed_text(value: Column, places: int) -> Column:
         whole = ((n - n % unit) / unit).cast("bigint").cast("string")
         return F.concat(sign, whole, F.lit("."), F.lpad((n % unit).cast("string"), places, "0"))
 
-    # Beyond 2^52 scaled units a double has no digits left to round at this place.
+    # From 2^52 scaled units on the split is no longer exact, and neither does rounding matter.
     return F.when(product < 2.0**52, _named(base + round_up.cast("bigint"), spelled)).when(
         product >= 2.0**52, F.format_string(f"%.{places}f", value)
     )

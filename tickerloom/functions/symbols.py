@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,9 +56,8 @@ def vendor_symbol(symbol: Column, exchange: Column) -> Column:
     ``.PF.`` preferreds become ``.PR.``; preferreds, debentures, warrants, rights and units keep
     their dots; any other dot turns into a hyphen. Unknown exchanges count as the senior one.
     """
-    keeps_dots = _any(symbol.contains(m) for m in DOTTED_MARKERS) | _any(
-        symbol.endswith(e) for e in DOTTED_ENDINGS
-    )
+    marks = [re.escape(m) for m in DOTTED_MARKERS] + [re.escape(e) + r"\z" for e in DOTTED_ENDINGS]
+    keeps_dots = symbol.rlike("|".join(marks))
     base = (
         F.when(symbol.contains(".PF."), F.replace(symbol, F.lit(".PF."), F.lit(".PR.")))
         .when(keeps_dots, symbol)

@@ -64,38 +64,9 @@ def last_two_bars(bars: DataFrame, position: list[str]) -> DataFrame:
 
 def previous_close(bars: DataFrame, position: list[str]) -> DataFrame:
     """Per symbol the close of its second-newest row, null where there is one row only."""
-    older = F.when(F.col("age") == 2, first_raw(F.col("Close"), F.col("`Adj. Close`")))
-    return last_two_bars(bars, position).groupBy("symbol").agg(F.max(older).alias("previous_close"))
-
-
-def latest_with_previous(bars: DataFrame, position: list[str], timed: bool) -> DataFrame:
-    """:func:`latest_bar` plus :func:`previous_close` in one pass over the rows.
-
-    Without bar times both follow the same order and share one ranking. With them each row is
-    ranked twice, under the timed and the untimed order, by a ranking keyed on (symbol, order):
-    still one scan and one shuffle of at most two rows per task, symbol and order. The untimed
-    copy carries only the close.
-    """
-    close = F.coalesce(F.col("Close"), F.col("`Adj. Close`"))
-    rows = bars.select("symbol", "latest_day", "as_of", *position, _whole_bar().alias("bar"), close.alias("close"))
-    if timed:
-        timed_row = ~F.col("untimed")
-        copies = rows.withColumn("untimed", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns(
-            {
-                "as_of": F.when(timed_row, F.col("as_of")),
-                "bar": F.when(timed_row, F.col("bar")),
-                "close": F.when(~timed_row, F.col("close")),
-            }
-        )
-        ranked = top_per_key(copies, ["symbol", "untimed"], _latest_order(position), k=2, rank="age")
-    else:
-        ranked = last_two_bars(rows, position)
-    newest, older = F.col("age") == 1, F.col("age") == 2
-    return (
-        ranked.groupBy("symbol")
-        .agg(F.max(F.when(newest, F.col("bar"))).alias("bar"), F.max(F.when(older, F.col("close"))).alias("close"))
-        .select("symbol", "bar.*", number(F.col("close")).alias("previous_close"))
-    )
+    older = F.when(F.col("age") == 2, F.coalesce(F.col("Close"), F.col("`Adj. Close`")))
+    texts = last_two_bars(bars, position).groupBy("symbol").agg(F.max(older).alias("close"))
+    return texts.select("symbol", number(F.col("close")).alias("previous_close"))
 
 
 def _whole_bar() -> Column:
@@ -116,6 +87,27 @@ def latest_only(bars: DataFrame, position: list[str]) -> DataFrame:
     )
 
 
+def latest_with_previous(bars: DataFrame, position: list[str], timed: bool) -> DataFrame:
+    """:func:`latest_bar` plus :func:`previous_close`.
+
+    Without bar times both follow the same order and share one ranking. With them each has its own
+    ranking over its own columns, and the two results, one row per symbol and already partitioned
+    by it, are joined. Ranking two tagged copies of each row in one pass reads less, but sorting
+    the doubled rows costs more than the second scan of the few columns the close needs.
+    """
+    if timed:
+        latest = latest_only(bars, position).drop("previous_close")
+        return latest.join(previous_close(bars, position), "symbol", "left")
+    close = F.coalesce(F.col("Close"), F.col("`Adj. Close`"))
+    newest, older = F.col("age") == 1, F.col("age") == 2
+    return (
+        last_two_bars(bars, position)
+        .groupBy("symbol")
+        .agg(F.max(F.when(newest, _whole_bar())).alias("bar"), F.max(F.when(older, close)).alias("close"))
+        .select("symbol", "bar.*", number(F.col("close")).alias("previous_close"))
+    )
+
+
 def with_change(bars: DataFrame) -> DataFrame:
     """Add change and percent against ``previous_close``."""
     price, previous = F.col("price"), F.col("previous_close")

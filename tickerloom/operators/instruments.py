@@ -61,7 +61,11 @@ def asset_type(quote_type: Column, is_etf: Column, is_mutual: Column, is_closed_
 
 def classify_instruments(infos: DataFrame, keep: tuple[str, ...] = ("symbol",), strict: bool = False) -> DataFrame:
     """Info payloads (``info`` JSON text) -> instrument columns; symbols without info are dropped."""
-    parsed = infos.select(*keep, "info", F.from_json("info", _PAYLOAD).alias("p")).where(_is_filled(F.col("p")))
+    # Dropping empty payloads by an explode parses each payload once; a filter on the parsed map
+    # would be pushed below the projection and parse it again.
+    parsed = infos.select(
+        *keep, "info", F.explode(F.filter(F.array(F.from_json("info", _PAYLOAD)), _is_filled)).alias("p")
+    )
     field = lambda name: F.try_element_at("p", F.lit(name))
     text = lambda name: text_value(field(name))
     flat = parsed.select(

@@ -23,18 +23,17 @@ def comma(expr: str) -> str:
 SHIP_DAY = "cast(cast(l_shipdate as date) as string)"
 TOTAL = money("o_totalprice")
 ROOT = f"concat('T', {text('p_partkey - p_partkey % 2')})"
-LISTED = (
-    f"concat({ROOT}, case p_size % 10 when 0 then '.A' when 1 then '.PF.E' when 2 then '.PR.E' when 3 then '.DB' "
-    "when 4 then '.WT.A' when 5 then '.UN' when 6 then '.U' when 7 then '.P' when 8 then '' else '.RT' end)"
-)
+# Suffix lists are cut from fixed-width text, one expression where a CASE would repeat per use.
+LISTED_SUFFIX = "rtrim(substr('.A   .PF.E.PR.E.DB  .WT.A.UN  .U   .P        .RT  ', cast(p_size % 10 * 5 + 1 as int), 5))"
+LISTED = f"concat({ROOT}, {LISTED_SUFFIX})"
 NAMED = (
     "concat(p_name, case p_size % 7 when 0 then ' trust' when 1 then ' Class B' when 2 then ' class A REIT' "
     "when 3 then ' Fund' else '' end)"
 )
 VALUE = text(money("value"))
 QUOTED = (
-    "concat('T', cast(user_id * 2 as string), case event_id % 7 when 0 then '-A.TO' when 1 then '.PR.E.TO' "
-    "when 2 then '.DB.V' when 3 then '.UN.TO' when 4 then '.V' when 5 then '.TO' else '-A.V' end)"
+    "concat('T', cast(user_id * 2 as string), "
+    "rtrim(substr('-A.TO   .PR.E.TO.DB.V   .UN.TO  .V      .TO     -A.V    ', cast(event_id % 7 * 8 + 1 as int), 8)))"
 )
 
 _statement_keys = {
@@ -152,8 +151,8 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "part",
         {
             "symbol": (
-                f"case when p_partkey % 37 = 0 then '  ' when p_partkey % 41 = 0 then null "
-                f"when p_partkey % 11 = 0 then concat(' ', lower({LISTED}), ' ') else {LISTED} end"
+                "case when p_partkey % 37 = 0 then '  ' when p_partkey % 41 = 0 then null else concat("
+                f"case when p_partkey % 11 = 0 then ' t' else 'T' end, {text('p_partkey - p_partkey % 2')}, {LISTED_SUFFIX}) end"
             ),
             "name": NAMED,
             "parent_symbol": f"case when p_partkey % 13 = 0 then null when p_partkey % 17 = 0 then ' ' else {ROOT} end",

@@ -139,6 +139,13 @@ def test_run_status_and_message(one):
     assert one(rows, schema, details)[4] == '{"tickers":{"total":3,"inserted":2,"errors":1,"error_rate":0.333333}}'
 
 
+def test_run_details_lead_with_the_context(one):
+    details = reports.run_details("tickers", "inserted", c("t"), c("t"), c("e"), {"market": "us", "batch": 5000})
+    assert one([(2, 0)], "t bigint, e bigint", details) == [
+        '{"market":"us","batch":5000,"tickers":{"total":2,"inserted":2,"errors":0,"error_rate":0.000000}}'
+    ]
+
+
 def test_truthiness_of_json(one):
     values = ["false", '"false"', "0", "0.0", "1", '""', "[]", "{}", "null", "true", '"0"', "[0]"]
     rows = [('{"f": %s}' % v,) for v in values] + [("{}",)]

@@ -305,6 +305,13 @@ def test_run_outcomes(spark, exits, want):
     assert after == ([] if want[1] is None else list(range(want[1] + 1, len(exits) + 1)))
 
 
+def test_plain_status_row(spark):
+    status = runlog.plain_status(spark, "error", "no data", {"error": "x"})
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    row = runlog.run_log_rows(status, F.lit("us_prices"), start, F.timestamp_add("SECOND", F.lit(2), start)).collect()[0]
+    assert (row.script, row.status, row.details, row.duration_ms) == ("us_prices", "error", '{"error": "x"}', 2000)
+
+
 def test_symbol_outcomes(spark):
     names = lambda *s: spark.createDataFrame([(x,) for x in s], "symbol string")
     outcomes = coverage.symbol_outcomes(names("A", "B", "C"), names("A"), names("B"))

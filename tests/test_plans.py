@@ -17,7 +17,7 @@ RANKED = [
 SINGLE_TASK = {
     "coverage_status", "dedup_stats", "exchange_totals", "not_found_count", "row_status", "run_log", "symbol_directory_totals",
     "us_prices_by_time", "us_prices_rejects",
-    "multi_class_parents", "suffix_counts", "symbol_directory_variants", "cap_by_symbol",
+    "multi_class_parents", "suffix_counts", "symbol_directory_variants", "cap_by_symbol", "cap_by_position",
 }
 
 

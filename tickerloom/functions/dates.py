@@ -15,7 +15,8 @@ def lenient_day(text: Column) -> Column:
     """A day from ``2024-01-31``, ``20240131`` or ``1/31/2024``, with or without a time; else null."""
     iso = F.regexp_replace(F.trim(text), r"^(\d{1,2})/(\d{1,2})/(\d{4})\b", "$3-$1-$2")
     iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return iso.try_cast("date")
+    # Nearly all texts are ISO days already and never reach the rewriting.
+    return F.coalesce(text.try_cast("date"), iso.try_cast("date"))
 
 
 def lenient_time(text: Column) -> Column:

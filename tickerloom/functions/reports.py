@@ -44,13 +44,16 @@ def run_message(item: str, done_label: str, total: Column, done: Column, errors:
     )
 
 
-def run_details(item: str, done_label: str, total: Column, done: Column, errors: Column) -> Column:
-    """The same counters as JSON text, the rate to six decimals."""
+def run_details(
+    item: str, done_label: str, total: Column, done: Column, errors: Column, context: dict | None = None
+) -> Column:
+    """The same counters as JSON text, the rate to six decimals, after the run's ``context`` fields."""
     counters = F.struct(
         total.alias("total"), done.alias(done_label), errors.alias("errors"),
         error_rate(total, errors).cast("decimal(9,6)").alias("error_rate"),
     )
-    return F.to_json(F.struct(counters.alias(item)))
+    fields = [F.lit(value).alias(name) for name, value in (context or {}).items()]
+    return F.to_json(F.struct(*fields, counters.alias(item)))
 
 
 def duration_ms(started: Column, ended: Column) -> Column:

@@ -121,7 +121,7 @@ def require_price(bars: DataFrame) -> DataFrame:
 
 
 def bulk_to_bars(latest: DataFrame, exchange: str = "US") -> DataFrame:
-    """Typed bar rows from reduced bulk rows."""
+    """Typed bar rows from reduced bulk rows; a row without a price stays until :func:`require_price`."""
     typed = latest.select(
         "symbol",
         F.lit(exchange).alias("exchange"),
@@ -134,7 +134,7 @@ def bulk_to_bars(latest: DataFrame, exchange: str = "US") -> DataFrame:
         "as_of",
         "previous_close",
     )
-    return with_change(require_price(typed))
+    return with_change(typed)
 
 
 def quote_bars(quotes: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def coverage_diff(candidates: DataFrame, loaded: DataFrame) -> DataFrame:
     return candidates.join(loaded.select("ticker"), "ticker", "left_anti")
 
 
-def _status_row(counts: DataFrame, item: str, done: str) -> DataFrame:
+def _status_row(counts: DataFrame, item: str, done: str, context: dict | None = None) -> DataFrame:
     """One row with counters ``total``, ``done`` and ``errors`` -> the run's status row."""
     args = (F.col("total"), F.col("done"), F.col("errors"))
     return counts.select(
@@ -32,17 +32,17 @@ def _status_row(counts: DataFrame, item: str, done: str) -> DataFrame:
         error_rate(F.col("total"), F.col("errors")).alias("error_rate"),
         run_status(F.col("total"), F.col("errors")).alias("status"),
         run_message(item, done, *args).alias("message"),
-        run_details(item, done, *args).alias("details"),
+        run_details(item, done, *args, context).alias("details"),
     )
 
 
-def coverage_status(candidates: DataFrame, loaded: DataFrame) -> DataFrame:
+def coverage_status(candidates: DataFrame, loaded: DataFrame, context: dict | None = None) -> DataFrame:
     """Tickers seen, loaded and missed, as one status row, in one grouping instead of a join."""
     seen = candidates.select("ticker", F.lit(0).alias("loaded"))
     marked = seen.union(loaded.select("ticker", F.lit(1)))
     per_ticker = marked.groupBy("ticker").agg(F.max("loaded").alias("loaded"))
     counts = per_ticker.agg(F.count("*").alias("total"), F.count_if(F.col("loaded") == 1).alias("done"))
-    return _status_row(counts.withColumn("errors", F.col("total") - F.col("done")), "tickers", "inserted")
+    return _status_row(counts.withColumn("errors", F.col("total") - F.col("done")), "tickers", "inserted", context)
 
 
 def outcome_status(outcomes: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,19 +33,23 @@ def gated_append(bars: DataFrame, stored: DataFrame, exchange: str) -> DataFrame
     return newer_than_seen(bars, latest_seen(stored, exchange))
 
 
-def gate_by_time(bars: DataFrame, stored: DataFrame, exchange: str) -> tuple[DataFrame, DataFrame]:
+def gate_by_time(
+    bars: DataFrame, stored: DataFrame, exchange: str, timed_run: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Gate on ``as_of`` for a target that stores it: ``(accepted, rejects)``.
 
     As soon as one bar of the run has a time, bars are held against ``max(as_of)``. A bar without
     a time can then not be compared with a stored time and is rejected with a reason; it counts as
-    an error. If no bar has a time the day decides.
+    an error. If no bar has a time the day decides. ``timed_run`` passes that in if known, which
+    saves computing ``bars`` once more to look.
     """
     marks = (
         stored.where(F.col("exchange") == exchange)
         .groupBy("symbol")
         .agg(F.max("as_of").alias("seen_time"), F.max("latest_day").alias("seen_day"))
     )
-    timed_run = bars.agg(F.coalesce(F.bool_or(F.col("as_of").isNotNull()), F.lit(False))).scalar()
+    if timed_run is None:
+        timed_run = has_times(bars).scalar()
     joined = bars.join(marks, "symbol", "left").withColumn("timed_run", timed_run)
     no_time = F.col("timed_run") & F.col("as_of").isNull() & F.col("seen_time").isNotNull()
     by_time = F.col("seen_time").isNull() | (F.col("as_of") > F.col("seen_time"))
@@ -56,6 +60,11 @@ def gate_by_time(bars: DataFrame, stored: DataFrame, exchange: str) -> tuple[Dat
     return joined.where(accepted).drop(*extra), rejects.withColumn("reason", F.lit("bar has no time to compare"))
 
 
+def has_times(bars: DataFrame) -> DataFrame:
+    """One row: does any bar have a time?"""
+    return bars.agg(F.coalesce(F.bool_or(F.col("as_of").isNotNull()), F.lit(False)).alias("timed"))
+
+
 def semi_join_universe(frame: DataFrame, universe: DataFrame, key: str = "symbol") -> DataFrame:
     """Keep rows whose symbol is in the universe. Catalyst broadcasts the universe if it is small."""
     return frame.join(universe.select(key), key, "left_semi")

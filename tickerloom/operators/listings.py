@@ -66,8 +66,11 @@ def exchange_totals(listings: DataFrame) -> DataFrame:
     )
 
 
-def official_symbols(listings: DataFrame, position: list[str]) -> DataFrame:
-    """Listed symbols with their vendor symbol; keys trimmed and upper-cased, blank symbols dropped."""
+def official_symbols(listings: DataFrame, position: list[str], cap: int | None = None) -> DataFrame:
+    """Listed symbols with their vendor symbol; keys trimmed and upper-cased, blank symbols dropped.
+
+    ``cap`` keeps the first listings in file order, for trial runs.
+    """
     require_columns(listings, "symbol", "exchange", "parent_symbol")
     keyed = listings.where("symbol is not null and exchange is not null").select(
         upper_trim(F.col("symbol")).alias("symbol"),
@@ -75,7 +78,10 @@ def official_symbols(listings: DataFrame, position: list[str]) -> DataFrame:
         upper_trim(F.col("parent_symbol")).alias("parent_symbol"),
         *position,
     )
-    return keyed.where("symbol <> ''").withColumn("yahoo_symbol", vendor_symbol(F.col("symbol"), F.col("exchange")))
+    filled = keyed.where("symbol <> ''")
+    if cap:
+        filled = filled.orderBy(*position).limit(cap)
+    return filled.withColumn("yahoo_symbol", vendor_symbol(F.col("symbol"), F.col("exchange")))
 
 
 def vendor_symbol_map(official: DataFrame, position: list[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.functions.reports import duration_ms
@@ -13,6 +15,13 @@ CRITICAL_EXIT = 2
 MAX_FAILURES = 3
 
 
+def plain_status(spark: SparkSession, status: str, message: str, details: dict | None = None) -> DataFrame:
+    """Status row of a run that ended before it had counters, such as a failed or empty input."""
+    return spark.range(1).select(
+        F.lit(status).alias("status"), F.lit(message).alias("message"), F.lit(json.dumps(details or {})).alias("details")
+    )
+
+
 def run_log_rows(status: DataFrame, script: Column, started: Column, ended: Column) -> DataFrame:
     """Status rows -> run log rows."""
     return status.select(

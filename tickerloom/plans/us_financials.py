@@ -29,8 +29,13 @@ def us_financials(parts: dict[str, list[DataFrame]], position: list[str]) -> Dat
     return reduce(DataFrame.unionByName, loaded)
 
 
-def us_financials_status(parts: dict[str, list[DataFrame]], loaded: DataFrame) -> DataFrame:
-    """Status row of the load. Pass the *written* rows as ``loaded`` so that they are not recomputed."""
+def us_financials_status(
+    parts: dict[str, list[DataFrame]], loaded: DataFrame, context: dict | None = None
+) -> DataFrame:
+    """Status row of the load, its details led by ``context`` (market, variant and the like).
+
+    Pass the *written* rows as ``loaded`` so that they are not recomputed.
+    """
     files = [f for group in parts.values() for f in group]
     candidates = coverage.candidate_tickers(*files)
-    return coverage.coverage_status(candidates, loaded.select(F.col("ticker")))
+    return coverage.coverage_status(candidates, loaded.select(F.col("ticker")), context)

@@ -29,17 +29,20 @@ def us_prices(
     prices: DataFrame, financials: DataFrame, stored: DataFrame, position: list[str], variant: str = "latest"
 ) -> DataFrame:
     """The bars newer than what ``stored`` holds per symbol."""
-    found = us_price_bars(prices, financials, position, variant)
+    found = bars.require_price(us_price_bars(prices, financials, position, variant))
     return gate.gated_append(found, stored, "US").select(*BAR_COLUMNS)
 
 
 def us_prices_by_time(
     prices: DataFrame, financials: DataFrame, stored: DataFrame, position: list[str], variant: str = "latest"
 ) -> tuple[DataFrame, DataFrame]:
-    """``(rows to append, rejects)`` for a target with an ``as_of`` column."""
+    """``(rows to append, rejects)`` for a target with an ``as_of`` column.
+
+    A bar that cannot be compared is rejected even if it has no price: the gate comes first.
+    """
     if "as_of" not in stored.columns:
         accepted = us_prices(prices, financials, stored, position, variant)
         return accepted, accepted.where("false")
     found = us_price_bars(prices, financials, position, variant)
     accepted, rejects = gate.gate_by_time(found, stored, "US")
-    return accepted.select(*BAR_COLUMNS, "as_of"), rejects.select(*BAR_COLUMNS, "reason")
+    return bars.require_price(accepted).select(*BAR_COLUMNS, "as_of"), rejects.select(*BAR_COLUMNS, "reason")

@@ -19,7 +19,7 @@ from tickerloom.sinks.tables import append_rows
 def gate_batch(batch: DataFrame, target_path: str, position: list[str], exchange: str = "US") -> None:
     """Append the bars of one micro-batch that are newer than the target's."""
     stored = batch.sparkSession.read.schema(schemas.STOCK_PRICES).parquet(target_path)
-    found = bars.bulk_to_bars(bars.latest_only(bars.bulk_bars(batch), position), exchange)
+    found = bars.require_price(bars.bulk_to_bars(bars.latest_only(bars.bulk_bars(batch), position), exchange))
     append_rows(gate.gated_append(found, stored, exchange), target_path, "stock_prices", sort_by="symbol")
 
 

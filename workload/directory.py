@@ -136,6 +136,15 @@ def _(t):
     return listings.issuer_scan(t.issuers, cap=50)
 
 
+@query(
+    "cap_by_position",
+    f"WITH {duck.OFFICIAL} SELECT symbol, yahoo_symbol, ord FROM official ORDER BY ord LIMIT 50",
+    "symbol_list",
+)
+def _(t):
+    return listings.official_symbols(t.symbol_list, ["ord"], cap=50).select("symbol", "yahoo_symbol", "ord")
+
+
 @query("scan_meta_map", "SELECT symbol, yahoo_symbol FROM meta_stored WHERE yahoo_symbol IS NOT NULL", "meta_stored")
 def _(t):
     return listings.vendor_symbol_lookup(t.meta_stored)

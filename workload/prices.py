@@ -63,7 +63,7 @@ def _(t):
 _BY_TIME = f"""WITH {BARS}, {LATEST}, {PREVIOUS}, {UNIVERSE},
   marks AS (SELECT symbol, max(latest_day + INTERVAL 10 HOUR) AS seen_time, max(latest_day) AS seen_day FROM stored_us WHERE exchange = 'US' GROUP BY symbol),
   typed AS (SELECT symbol, 'US' AS exchange, {TYPED}, as_of, previous_close FROM latest LEFT JOIN previous USING (symbol)),
-  found AS (SELECT * FROM typed SEMI JOIN universe USING (symbol) WHERE price IS NOT NULL),
+  found AS (SELECT * FROM typed SEMI JOIN universe USING (symbol)),
   judged AS (SELECT *, (SELECT bool_or(as_of IS NOT NULL) FROM found) AS timed FROM found LEFT JOIN marks USING (symbol))
   """
 
@@ -75,7 +75,7 @@ def _by_time(t):
 
 @query(
     "us_prices_by_time",
-    f"""{_BY_TIME} SELECT {OUT}, as_of FROM judged WHERE CASE WHEN timed THEN seen_time IS NULL OR as_of > seen_time
+    f"""{_BY_TIME} SELECT {OUT}, as_of FROM judged WHERE price IS NOT NULL AND CASE WHEN timed THEN seen_time IS NULL OR as_of > seen_time
         ELSE seen_day IS NULL OR latest_day > seen_day END""",
     US_VIEWS,
 )

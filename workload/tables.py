@@ -173,7 +173,7 @@ def _(t):
     from tickerloom.operators import bars, gate
 
     latest = bars.latest_only(bars.bulk_bars(t.prices_bulk), POSITION)
-    appended = gate.gated_append(bars.bulk_to_bars(latest), t.stored_us, "US")
+    appended = gate.gated_append(bars.require_price(bars.bulk_to_bars(latest)), t.stored_us, "US")
     log = _log_rows(coverage.outcome_status(coverage.symbol_outcomes(latest, appended)))
     return log.withColumns({n: c(n).cast("timestamp_ntz") for n in ("started_at", "ended_at")})
 

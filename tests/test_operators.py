@@ -141,20 +141,22 @@ def test_price_fallback_chooses_before_the_gate(spark):
         ("FAST.TO", 0.0, None, 5.0, 1.0, 0.0, 9.0, None, 2.0, 0, 7, 0, day),
         ("NONE.TO", 0.0, 0.0, None, 1.0, 1.0, 1.0, 1.0, 1.0, 1, 1, day, None),
         ("STALE.TO", 3.0, None, None, 1.0, 1.0, 1.0, 1.0, 1.0, 1, 1, None, None),
+        ("NAN.TO", float("nan"), 7.0, 7.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1, 1, day, None),
     ]
     fast = spark.createDataFrame(rows, schema)
     history = spark.createDataFrame(
         [(s, D(2024, 1, d), 1.0, 1.0, 1.0, close, 5.0, i) for i, (s, d, close) in enumerate(
-            [("FAST.TO", 9, 8.0), ("NONE.TO", 3, 1.5), ("NONE.TO", 4, 2.5), ("STALE.TO", 9, 8.0), ("HIST.TO", 3, 1.0), ("HIST.TO", 4, None)])],
+            [("FAST.TO", 9, 8.0), ("NONE.TO", 3, 1.5), ("NONE.TO", 4, 2.5), ("STALE.TO", 9, 8.0), ("HIST.TO", 3, 1.0), ("HIST.TO", 4, None), ("NAN.TO", 4, 6.0)])],
         "symbol string, date date, Open double, High double, Low double, Close double, Volume double, ord int",
     )
     listing = spark.createDataFrame(
-        [(s, "TSX", s, i) for i, s in enumerate(["FAST", "NONE", "STALE", "HIST"])], "symbol string, exchange string, parent_symbol string, ord int"
+        [(s, "TSX", s, i) for i, s in enumerate(["FAST", "NONE", "STALE", "HIST", "NAN"])], "symbol string, exchange string, parent_symbol string, ord int"
     )
     stored = spark.createDataFrame([("STALE", "CA", D(2024, 1, 5))], "symbol string, exchange string, latest_day date")
     got = ca_prices.ca_prices_fallback(listing, fast, history, stored, ["ord"], ["ord"], F.lit("2024-01-05").cast("date"))
     assert keyed(got, "symbol", "price", "high", "volume", "latest_day") == {
         "FAST": (5.0, 9.0, 7, D(2024, 1, 2)), "NONE": (2.5, 1.0, 5, D(2024, 1, 4)),
+        "NAN": (6.0, 1.0, 5, D(2024, 1, 4)),
     }
 
 

@@ -159,10 +159,11 @@ def fast_info_bars(infos: DataFrame, today: Column) -> DataFrame:
     day = first_epoch_day(c("regularMarketTime"), c("lastMarketTime"))
     typed = infos.select(
         c("symbol").alias("vendor_symbol"),
-        c("open"),
-        first_truthy(c("dayHigh"), c("regularMarketDayHigh")).alias("high"),
-        first_truthy(c("dayLow"), c("regularMarketDayLow")).alias("low"),
-        first_truthy(c("lastPrice"), c("last_price"), c("regularMarketPrice")).alias("price"),
+        # NaN is a value to the "first truthy" rule, and missing only after it.
+        nan_as_null(c("open")).alias("open"),
+        nan_as_null(first_truthy(c("dayHigh"), c("regularMarketDayHigh"))).alias("high"),
+        nan_as_null(first_truthy(c("dayLow"), c("regularMarketDayLow"))).alias("low"),
+        nan_as_null(first_truthy(c("lastPrice"), c("last_price"), c("regularMarketPrice"))).alias("price"),
         first_truthy(c("lastVolume"), c("regularMarketVolume")).alias("volume"),
         F.coalesce(day, today).alias("latest_day"),
     )

@@ -253,7 +253,7 @@ def _(t):
 
 CELLS = """daily AS (SELECT date, ticker, min(price) AS "Open", max(price) AS "High", min(price) AS "Low",
     max(CASE WHEN qty > 5 THEN price END) AS "Close", CAST(sum(qty) AS BIGINT) AS "Volume" FROM panel_cells GROUP BY date, ticker),
-  panel AS (SELECT ticker, date, "Open", "High", "Low", "Close", "Volume" FROM (SELECT DISTINCT date FROM panel_cells) CROSS JOIN (SELECT DISTINCT ticker FROM panel_cells)
+  panel AS (SELECT ticker, date, "Open", "High", "Low", "Close", "Volume" FROM (SELECT DISTINCT date FROM panel_cells) CROSS JOIN (SELECT concat('N', n, CASE WHEN n % 2 = 0 THEN '.TO' ELSE '.V' END) AS ticker FROM range(25) r(n))
     LEFT JOIN daily USING (date, ticker))"""
 
 
@@ -265,6 +265,7 @@ def _survivors(source: str) -> str:
     WHERE NOT EXISTS (SELECT 1 FROM alive b WHERE b.ticker = a.ticker AND b.age < a.age) AND "Close" IS NOT NULL)"""
 
 
+# The panel's columns are those of its download batch, whether or not a ticker traded.
 PANEL_TICKERS = [f"N{n}{'.TO' if n % 2 == 0 else '.V'}" for n in range(25)]
 
 

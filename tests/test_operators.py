@@ -82,6 +82,10 @@ def test_us_prices_gate_universe_and_unparseable_close(spark):
     assert keyed(got, "symbol", "price", "previous_close", "change", "change_percent", "volume") == {
         "NEW": (101.0, 100.0, 1.0, "1.00%", 10), "LATER": (1.0, None, None, None, 10),
     }
+    found = us_prices.us_price_bars(rows, financials, ["ord"], "daily")
+    assert keyed(gate.gate_outcomes(found, stored, "US"), "symbol", "outcome") == {
+        "NEW": "inserted", "LATER": "inserted", "SAME": "skipped", "BAD": "skipped",
+    }
     # appending what was accepted leaves nothing more to append
     again = us_prices.us_prices(rows, financials, stored.unionByName(got.select(*stored.columns)), ["ord"], "daily")
     assert again.count() == 0

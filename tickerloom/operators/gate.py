@@ -33,6 +33,14 @@ def gated_append(bars: DataFrame, stored: DataFrame, exchange: str) -> DataFrame
     return newer_than_seen(bars, latest_seen(stored, exchange))
 
 
+def gate_outcomes(bars: DataFrame, stored: DataFrame, exchange: str) -> DataFrame:
+    """What the gate does with each symbol's bar, without computing the bars a second time to append."""
+    judged = bars.join(latest_seen(stored, exchange), "symbol", "left")
+    newer = F.col("last_seen").isNull() | (F.col("latest_day") > F.col("last_seen"))
+    outcome = F.when(F.col("price").isNotNull() & newer, "inserted").otherwise("skipped")
+    return judged.select("symbol", outcome.alias("outcome"))
+
+
 def gate_by_time(
     bars: DataFrame, stored: DataFrame, exchange: str, timed_run: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:

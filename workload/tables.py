@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickerloom import schemas
-from tickerloom.operators import coverage, listings, merge, runlog
+from tickerloom.operators import bars, coverage, gate, listings, merge, runlog
 from tickerloom.plans import us_financials as us
 from tickerloom.session import scratch_dir
 from tickerloom.sinks import tables
@@ -170,11 +170,8 @@ _FOUND = f"""WITH {BARS}, {LATEST}, {SEEN}, typed AS (SELECT symbol, {TYPED} FRO
 
 @query("run_log", f"{_FOUND} SELECT 'us_prices' AS script, {_STATUS}, {_LOG} FROM n", "prices_bulk stored_us")
 def _(t):
-    from tickerloom.operators import bars, gate
-
-    latest = bars.latest_only(bars.bulk_bars(t.prices_bulk), POSITION)
-    appended = gate.gated_append(bars.require_price(bars.bulk_to_bars(latest)), t.stored_us, "US")
-    log = _log_rows(coverage.outcome_status(coverage.symbol_outcomes(latest, appended)))
+    found = bars.bulk_to_bars(bars.latest_only(bars.bulk_bars(t.prices_bulk), POSITION))
+    log = _log_rows(coverage.outcome_status(gate.gate_outcomes(found, t.stored_us, "US")))
     return log.withColumns({n: c(n).cast("timestamp_ntz") for n in ("started_at", "ended_at")})
 
 

@@ -37,7 +37,6 @@ TAG_MAPS = {
         "ChangeInCash": ["Change in Cash", "Changes In Cash", "Net Change in Cash"],
     },
 }
-LONG_COLUMNS = ["ticker", "exchange", "fy_end_date", "stmt_type", "tag", "value", "unit", "source"]
 
 
 def unpivot_tags(wide: DataFrame, stmt_type: str, exchange: str = "US", source: str = "SimFin") -> DataFrame:

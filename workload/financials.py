@@ -22,9 +22,8 @@ SOURCES = range(3)  # banks, insurance, general
 
 
 def _parts(wide: DataFrame) -> list[DataFrame]:
-    """The three files of a statement; one vendor file lacks a column the others have."""
-    files = [wide.where(c("source_priority") == s).drop("source_priority") for s in SOURCES]
-    return files
+    """The three files of a statement."""
+    return [wide.where(c("source_priority") == s).drop("source_priority") for s in SOURCES]
 
 
 def _all_parts(t) -> dict[str, list[DataFrame]]:

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entrypoint
 import check
+from workload import registry
 
 
 @pytest.fixture(scope="module")
@@ -11,7 +12,7 @@ def con(sf_dir):
     return check.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entrypoint.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, sf_dir, name):
     good, note = check.compare(spark, con, name, sf_dir)
     assert good, note

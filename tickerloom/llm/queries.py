@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import mixing, secret_scan, sharding, warc
+from tickerloom.llm import hash_forest, language_id, mixing, mtree, packing, secret_scan, sharding, simhash, warc
 from tickerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,62 @@ TOPOLOGY = {
 def op7(spark, sf_dir):
     """Law ``key``; SQL has no CRC-32, so it is tested against a brute-force descent."""
     return sharding.assign_shards(table(spark, sf_dir, "documents"), TOPOLOGY, 8)
+
+
+# --- 2: language identification -------------------------------------------------------------
+
+
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    """A trained model; held-out accuracy is tested."""
+    return language_id.predict(table(spark, sf_dir, "documents"))
+
+
+# --- 4: packing -----------------------------------------------------------------------------
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op4_concat_and_cut")
+def op4(spark, sf_dir):
+    """SQL has no tokenizer; tested against whole-text encodings."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+# --- 5: exact top-k -------------------------------------------------------------------------
+
+
+@query(
+    "op5_mtree_top_k",
+    """WITH usable AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+  FROM usable q JOIN usable x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+QUALIFY rank <= 5""",
+)
+def op5(spark, sf_dir):
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+# --- 8: approximate nearest neighbours ------------------------------------------------------
+
+
+@query("op8_hash_forest")
+def op8(spark, sf_dir):
+    """Approximate by nature; recall against brute force is tested."""
+    return hash_forest.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+# --- 9: SimHash -----------------------------------------------------------------------------
+
+
+@query("op9_simhash_components")
+def op9(spark, sf_dir):
+    """SQL has no XXH64; tested against brute force."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)

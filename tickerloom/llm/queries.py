@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import hash_forest, language_id, mixing, mtree, packing, secret_scan, sharding, simhash, warc
+from tickerloom.llm import hash_forest, language_id, mixing, mtree, packing, run_length_index, secret_scan, sharding, simhash, warc
 from tickerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,12 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     """SQL has no XXH64; tested against brute force."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+# --- 10: repeated passages ------------------------------------------------------------------
+
+
+@query("op10_run_length_index")
+def op10(spark, sf_dir):
+    """SQL can't mark strings of every offset; tested against brute force."""
+    return run_length_index.remove_repeats(table(spark, sf_dir, "documents"), length=400)

@@ -59,8 +59,8 @@ def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     base = 0x9E3779B97F4A7C15
     n = SEGMENT + (1 << 16)
     values = _mixed(np.arange(1, 257, dtype=np.uint64) * U(base))
-    up = np.cumprod(np.concatenate(([1], np.full(n - 1, base, np.uint64))).astype(np.uint64))
-    down = np.cumprod(np.concatenate(([1], np.full(n - 1, pow(base, -1, 1 << 64), np.uint64))).astype(np.uint64))
+    up = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, base, np.uint64))).astype(np.uint64))
+    down = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, pow(base, -1, 1 << 64), np.uint64))).astype(np.uint64))
     return values, up, down
 
 

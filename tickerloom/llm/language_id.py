@@ -231,7 +231,7 @@ def predict(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def accepted(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+def accepted(docs: DataFrame, least_score: float = 0.35) -> DataFrame:
     """``docs`` without those whose language can't be told: no letter, or a score under ``least_score``."""
     model = fit(docs.filter(~held_out(c("doc_id")) & c("doc_id").isNotNull()))
     p = fresh("p", docs.columns)

@@ -3,8 +3,9 @@
 Each source has a target number of words. With rate = target / words of the source, a document is
 taken ``floor(rate)`` times for certain. What is left of the target is drawn: a document with inclusion
 probability p = rate - floor(rate) has the rank (u / (1 - u)) / (p / (1 - p)), with u a repeatable
-draw, and the lowest ranks are taken while their words fit the rest of the target. The gap that then
-remains goes to the one document left out whose size comes nearest to it, if that narrows the gap.
+draw, and the lowest ranks are taken while their words fit the rest of the target. A few more draws
+fill the gap that remains: each takes the longest document left out that fits into it (of equal ones
+that with the lowest rank), the last one the document that comes nearest, if that narrows the gap.
 
 Only the words of a fixed number of documents are ever ordered in one task: ranks are cut into ranges
 of about ``rows_per_range`` documents, whole ranges are taken by their sums, and just the range in
@@ -28,6 +29,9 @@ from tickerloom.llm.common import fresh, materialise, unit_draw
 
 #: A word: a longest run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Draws that fill the gap left by the first document that doesn't fit.
+FILLING_DRAWS = 4
+
 c = F.col
 
 
@@ -97,14 +101,22 @@ def draws(sizes: DataFrame, weights: Sequence[int], max_copies: int, rows_per_ra
     outside = outside.withColumn("fits", drawn & (c("cut").isNull() | (c("range") < c("cut"))))
     chosen = materialise(inside.unionByName(outside).withColumn("fits", F.coalesce("fits", F.lit(False))).withColumn("id", F.monotonically_increasing_id()))
     filled = chosen.groupBy("source").agg(F.first("rest").alias("rest"), F.sum(F.when(c("fits"), c("size")).otherwise(0)).alias("got"))
-    gaps = materialise(filled.select(c("source").alias("s"), (c("rest") - c("got")).alias("gap")))
-    left = chosen.filter(c("odds").isNotNull() & ~c("fits")).join(gaps, c("source").eqNullSafe(c("s")))
-    left = left.withColumn("off", F.abs(c("gap") - c("size"))).filter(c("off") < c("gap"))
-    last = left.groupBy("source").agg(F.min(F.struct("off", "rank", "doc_id", "size", "tie", "id")).alias("last"))
-    last = materialise(last.select(c("source").alias("s"), c("last.id").alias("last")))
-    out = chosen.join(last, c("source").eqNullSafe(c("s")), "left").drop("s")
-    extra = c("fits").cast("int") + F.coalesce((c("id") == c("last")).cast("int"), F.lit(0))
-    return out.withColumn("times", c("copies") + extra)
+    gaps = filled.select(c("source").alias("s"), (c("rest") - c("got")).alias("gap"), F.array().cast("array<long>").alias("ids"))
+    for turn in range(FILLING_DRAWS):
+        gaps = materialise(gaps)
+        last = turn == FILLING_DRAWS - 1
+        left = chosen.filter(c("odds").isNotNull() & ~c("fits") & (c("size") > 0)).join(gaps, c("source").eqNullSafe(c("s")))
+        off = F.abs(c("gap") - c("size"))
+        useful = (off < c("gap")) if last else (c("size") <= c("gap"))
+        left = left.filter(useful & ~F.array_contains("ids", c("id")))
+        best = left.groupBy("source").agg(F.min(F.struct(off.alias("off"), "rank", "doc_id", "size", "tie", "id")).alias("best"))
+        gaps = gaps.join(best, c("source").eqNullSafe(c("s")), "left").select(
+            "s", (c("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
+            F.when(c("best").isNull(), c("ids")).otherwise(F.concat("ids", F.array("best.id"))).alias("ids"),
+        )
+    filling = materialise(gaps.select(F.explode("ids").alias("filling")))
+    out = chosen.join(filling, c("id") == c("filling"), "left")
+    return out.withColumn("times", c("copies") + (c("fits") | c("filling").isNotNull()).cast("int"))
 
 
 def sizes_of(docs: DataFrame, salt: str) -> DataFrame:

@@ -99,10 +99,16 @@ drawn AS (
 filled AS (
   SELECT *, coalesce(p > 0 AND sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id NULLS FIRST, size, tie ROWS UNBOUNDED PRECEDING) <= rest, false) AS fits FROM drawn),
 gaps AS (SELECT *, rest - coalesce(sum(size) FILTER (fits) OVER (PARTITION BY source), 0) AS gap FROM filled),
-last AS (
-  SELECT row_id FROM gaps WHERE p > 0 AND NOT fits AND abs(gap - size) < gap
-  QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(gap - size), rank, doc_id NULLS FIRST, size, tie) = 1)
-SELECT doc_id, size, source_size, target, (size * (copies + fits::INT + (row_id IN (SELECT row_id FROM last))::INT))::BIGINT AS taken FROM gaps""",
+pick0 AS (SELECT source, row_id, size FROM gaps WHERE p > 0 AND NOT fits AND size > 0 AND size <= gap QUALIFY ORDERED),
+gaps0 AS (SELECT g.* REPLACE (gap - coalesce(k.size, 0) AS gap, fits OR g.row_id IS NOT DISTINCT FROM k.row_id AS fits) FROM gaps g LEFT JOIN pick0 k ON g.source IS NOT DISTINCT FROM k.source),
+pick1 AS (SELECT source, row_id, size FROM gaps0 WHERE p > 0 AND NOT fits AND size > 0 AND size <= gap QUALIFY ORDERED),
+gaps1 AS (SELECT g.* REPLACE (gap - coalesce(k.size, 0) AS gap, fits OR g.row_id IS NOT DISTINCT FROM k.row_id AS fits) FROM gaps0 g LEFT JOIN pick1 k ON g.source IS NOT DISTINCT FROM k.source),
+pick2 AS (SELECT source, row_id, size FROM gaps1 WHERE p > 0 AND NOT fits AND size > 0 AND size <= gap QUALIFY ORDERED),
+gaps2 AS (SELECT g.* REPLACE (gap - coalesce(k.size, 0) AS gap, fits OR g.row_id IS NOT DISTINCT FROM k.row_id AS fits) FROM gaps1 g LEFT JOIN pick2 k ON g.source IS NOT DISTINCT FROM k.source),
+last AS (SELECT row_id FROM gaps2 WHERE p > 0 AND NOT fits AND size > 0 AND abs(gap - size) < gap QUALIFY ORDERED)
+SELECT doc_id, size, source_size, target, (size * (copies + fits::INT + (row_id IN (SELECT row_id FROM last))::INT))::BIGINT AS taken FROM gaps2""".replace(
+        "ORDERED", "row_number() OVER (PARTITION BY source ORDER BY abs(gap - size), rank, doc_id NULLS FIRST, size, tie) = 1"
+    ),
 )
 def op3(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))

@@ -117,7 +117,10 @@ def spans(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
     """
     found = materialise(candidates(docs, repository, owner))
     known = ownership(found).select("value_hash", "owners", "repositories")
-    judged = found.join(known, "value_hash", "left").drop("owner", "repository")
+    held = c("value_hash").isNotNull()
+    judged = found.filter(held).join(known, "value_hash", "left").drop("owner", "repository")
+    # documents without a candidate have no hash to meet by
+    judged = judged.unionByName(found.filter(~held).drop("owner", "repository"), allowMissingColumns=True)
     base = c("kind") < 3
     by_start = W.partitionBy("id").orderBy("start", "kind")
     before = F.max(F.when(base, c("end"))).over(by_start.rowsBetween(W.unboundedPreceding, 0))

@@ -17,7 +17,9 @@ matching statistics in text order gives the longest match of every position, and
 where it reaches ``length``.
 
 An anchor shared by more than ``BUSY`` different pieces (the edges of a passage that very many documents
-hold) isn't gathered: its windows are counted by a 128-bit hash each, combined on the map side.
+hold) isn't gathered whole. Its pieces are sliced by their windows' distance to the anchor, slices are routed
+by the bytes all of their windows share, and the steps above are taken with the slices as pieces; where
+that isn't enough, with thinner slices, down to single windows, which are counted.
 
 Defined cases: a null or empty text has no bytes; texts shorter than ``length`` keep all bytes; equal
 texts of ``length`` bytes or more are removed whole, all of them; overlapping repeats within a document
@@ -41,7 +43,9 @@ from tickerloom.llm.common import materialise
 #: Bytes of a text that are hashed at a time.
 SEGMENT = 1 << 20
 #: Bytes of text in one index, about; different pieces of an anchor that are gathered at most.
-GROUP, BUSY = 1 << 18, 256
+GROUP, BUSY = 1 << 18, 1024
+#: Windows of a slice, from one step to the next.
+SLICES = (16, 4, 1)
 
 c = F.col
 U = np.uint64
@@ -64,8 +68,8 @@ def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values, up, down
 
 
-def anchored_pieces(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, last, anchor) of the pieces of ``data``: windows start..last have the anchor hash in common."""
+def anchored_pieces(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, last, anchor, place) of the pieces of ``data``: windows start..last have the anchor at ``place`` in common."""
     gram = length // 2
     width = length - gram + 1  # anchors to choose from in a window
     found = []
@@ -86,9 +90,9 @@ def anchored_pieces(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, n
             place = np.where(low[:-shift] <= low[shift:], place[:-shift], place[shift:])
         starts = np.concatenate(([0], np.flatnonzero(place[1:] != place[:-1]) + 1))
         lasts = np.concatenate((starts[1:], [len(place)])) - 1
-        found.append((starts + at, lasts + at, hashes[place[starts]].view(np.int64)))
+        found.append((starts + at, lasts + at, hashes[place[starts]].view(np.int64), place[starts] + at))
     if not found:
-        return (np.array([], np.int64),) * 3
+        return (np.array([], np.int64),) * 4
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -205,7 +209,7 @@ def pieces(keyed: DataFrame, length: int) -> DataFrame:
             rows = []
             for k1, k2, text in zip(batch["k1"], batch["k2"], batch["text"], strict=True):
                 data = text.encode()
-                starts, lasts, anchors = anchored_pieces(data, length)
+                starts, lasts, anchors, _ = anchored_pieces(data, length)
                 n = len(starts)
                 hashes = np.array([one(data[a:b]) for a, b in zip(starts.tolist(), (lasts + length).tolist(), strict=True)], np.uint64).view(np.int64)
                 rows.append((np.full(n, k1), np.full(n, k2), starts, lasts - starts, anchors, hashes))
@@ -253,62 +257,96 @@ def _cut(length: int):
     return work
 
 
-def _window_hashes(length: int):
-    """Pieces to the hash of each of their windows."""
+def _sliced(length: int, size: int):
+    """Pieces to slices of windows at ``size`` neighbouring distances from the anchor, routed by what these share.
+
+    ``place`` is where the anchor stands in the piece, if known.
+    """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
+        one = xxhash.xxh3_64_intdigest
         for batch in batches:
             out = []
-            for k1, k2, start, more, is_open, data in zip(batch["k1"], batch["k2"], batch["start"], batch["more"], batch["open"], batch["data"], strict=True):
-                out += [(k1, k2, start + i, is_open, xxhash.xxh3_128_digest(data[i : i + length])) for i in range(more + 1)]
-            yield pd.DataFrame(out, columns=["k1", "k2", "start", "open", "window"])
+            columns = ("k1", "k2", "start", "more", "open", "place", "data")
+            for k1, k2, start, more, is_open, place, data in zip(*(batch[x] for x in columns), strict=True):
+                if place < 0:
+                    place = int(anchored_pieces(data, length)[3][0])
+                for number in range((place - more) // size, place // size + 1):
+                    near, far = number * size, number * size + size - 1  # distances of the slice's windows
+                    first, last = max(0, place - far), min(more, place - near)
+                    shared = one(data[place - near : place - far + length], number)
+                    part = data[first : last + length]
+                    out.append((k1, k2, start + first, last - first, is_open, place - first, part, shared, one(part, 1)))
+            frame = pd.DataFrame(out, columns=[*columns, "anchor", "piece"])
+            for name in ("anchor", "piece"):
+                frame[name] = frame[name].to_numpy(np.uint64).view(np.int64)
+            yield frame
 
     return work
 
 
+def _busy_spans(pieces_: DataFrame, length: int, sizes: tuple[int, ...] = SLICES) -> DataFrame:
+    """(k1, k2, start, end) of the repeated windows in open pieces, by slices of the first of ``sizes``."""
+    schema = "k1 long, k2 long, start long, more int, open boolean, place int, data binary, anchor long, piece long"
+    slices = materialise(pieces_.select(*KEY, "start", "more", "open", "place", "data").mapInPandas(_sliced(length, sizes[0]), schema))
+    # an open piece stands for itself, another one for the several that are equal to it
+    times = F.sum(F.when(c("open"), 1).otherwise(2))
+    different = materialise(slices.groupBy("anchor", "piece").agg(times.alias("n"), F.min(F.struct(*KEY, "start")).alias("rep")))
+    settled = slices.filter("open").join(different.filter(c("n") > 1), ["anchor", "piece"], "left_semi")
+    spans = settled.select(*KEY, "start", (c("start") + c("more") + length).alias("end"))
+    if len(sizes) == 1:
+        return spans
+    contested = _contested(different)
+    named = different.join(contested, "anchor").select("anchor", "piece", "busy", (c("n") == 1).alias("open"), "rep")
+    rest = slices.drop("open").join(named, ["anchor", "piece"]).filter(F.struct(*KEY, "start") == c("rep")).dropDuplicates(["anchor", "piece"])
+    rest = materialise(rest.drop("rep"))
+    spans = spans.unionByName(_indexed_spans(rest.filter(~c("busy")), length))
+    return spans.unionByName(_busy_spans(rest.filter("busy"), length, sizes[1:])) if rest.filter("busy").limit(1).count() else spans
+
+
+def _contested(different: DataFrame) -> DataFrame:
+    """(anchor, busy) of the anchors of (anchor, piece, n) with a piece that occurs once beside another piece."""
+    per_anchor = different.groupBy("anchor").agg(F.count("*").alias("pieces"), F.count(F.when(c("n") == 1, 1)).alias("open_pieces"))
+    return materialise(per_anchor.filter((c("pieces") > 1) & (c("open_pieces") > 0)).select("anchor", (c("pieces") > BUSY).alias("busy")))
+
+
+def _indexed_spans(gathered: DataFrame, length: int) -> DataFrame:
+    """(k1, k2, start, end) of the repeated windows in open pieces, by an index of each group of anchors."""
+    size = gathered.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    grouped = gathered.withColumn("group", F.pmod(F.xxhash64("anchor"), F.lit(int(size // GROUP) + 1)))
+    return grouped.groupBy("group").applyInPandas(_open_matches(length), "k1 long, k2 long, start long, end long")
+
+
 def repeated_spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """(k1, k2, start, end): spans that cover the repeated bytes of each text, and the texts that have any."""
     keyed = _keyed(docs)
     # written once: the anchors of the whole corpus, then only those that occur again
     every = materialise(pieces(keyed, length))
-    again = every.groupBy("anchor").agg(F.count("*").alias("n")).filter(c("n") > 1).select("anchor")
+    again = materialise(every.groupBy("anchor").agg(F.count("*").alias("n")).filter(c("n") > 1).select("anchor"))
     shared = materialise(every.join(again, "anchor", "left_semi"))
 
     rep = F.struct(*KEY, "start", "more")
-    different = shared.groupBy("anchor", "piece").agg(F.count("*").alias("n"), F.min(rep).alias("rep"))
-    different = materialise(different)
-    per_anchor = different.groupBy("anchor").agg(F.count("*").alias("pieces"), F.count(F.when(c("n") == 1, 1)).alias("open_pieces"))
-    contested = per_anchor.filter((c("pieces") > 1) & (c("open_pieces") > 0)).select("anchor", (c("pieces") > BUSY).alias("busy"))
-    wanted = different.join(contested, "anchor").select("rep.*", "anchor", (c("n") == 1).alias("open"), "busy")
-    wanted = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("start", "more", "anchor", "open", "busy")).alias("wanted"))
-    wanted = materialise(wanted)
+    different = materialise(shared.groupBy("anchor", "piece").agg(F.count("*").alias("n"), F.min(rep).alias("rep")))
+    wanted = different.join(_contested(different), "anchor").select("rep.*", "anchor", (c("n") == 1).alias("open"), "busy")
+    wanted = materialise(wanted.groupBy(*KEY).agg(F.collect_list(F.struct("start", "more", "anchor", "open", "busy")).alias("wanted")))
 
     settled = different.filter(c("n") > 1).select("anchor", "piece")
     settled = shared.join(settled, ["anchor", "piece"], "left_semi").select(*KEY, "start", (c("start") + c("more") + length).alias("end"))
     settled = materialise(settled.distinct())
 
     # texts that may lose bytes, each once; only they are looked at again
-    named = settled.select(*KEY).unionByName(wanted.select(*KEY)).distinct()
-    texts = keyed.select(*KEY, "text").join(named, KEY, "left_semi").groupBy(*KEY).agg(F.first("text").alias("text"))
-    texts = materialise(texts)
+    named = materialise(settled.select(*KEY).unionByName(wanted.select(*KEY)).distinct())
+    texts = materialise(keyed.groupBy(*KEY).agg(F.first("text").alias("text")).join(named, KEY))
     cut = texts.join(wanted, KEY).mapInPandas(
         _cut(length), "k1 long, k2 long, start long, more int, anchor long, open boolean, busy boolean, data binary"
     )
     cut = materialise(cut)
-    size = cut.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    groups = int(size // GROUP) + 1
-    gathered = cut.filter(~c("busy")).withColumn("group", F.pmod(F.xxhash64("anchor"), F.lit(groups)))
-    matched = gathered.groupBy("group").applyInPandas(_open_matches(length), "k1 long, k2 long, start long, end long")
-
-    hashed = cut.filter("busy").select(*KEY, "start", "more", "open", "data")
-    hashed = hashed.mapInPandas(_window_hashes(length), "k1 long, k2 long, start long, open boolean, window binary")
-    # an open window stands once; the copy kept of a piece that isn't open stands for several
-    counted = hashed.groupBy("window").agg(F.count("*").alias("n"))
-    several = counted.filter(c("n") > 1).select("window")
-    busy = hashed.filter("open").join(several, "window", "left_semi").select(*KEY, "start", (c("start") + length).alias("end"))
-    return settled.unionByName(matched).unionByName(busy), texts
+    spans = settled.unionByName(_indexed_spans(cut.filter(~c("busy")), length))
+    if cut.filter("busy").limit(1).count():
+        spans = spans.unionByName(_busy_spans(cut.filter("busy").withColumn("place", F.lit(-1)), length))
+    return spans, texts
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -50,8 +51,7 @@ class WordTokenizer:
         words = text.replace("\n", " ").split(" ")
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        asked = list(set(words).difference(self.known))
-        ids = {w: b"".join(i.to_bytes(4, "little") for i in e.ids) for w, e in zip(asked, self.tokenizer.encode_batch(asked, add_special_tokens=False), strict=True)}
+        ids = self._ask(list(set(words).difference(self.known)))
         if all(len(w) <= REMEMBERED_CHARS for w in ids):
             self.known |= ids
             return b"".join(map(self.known.__getitem__, words))
@@ -60,6 +60,18 @@ class WordTokenizer:
         return b"".join(map(now.__getitem__, words))
 
 
+    def _ask(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words, encoded as one text and told apart by where their tokens start."""
+        if not words:
+            return {}
+        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        places = np.fromiter((start for start, _ in encoded.offsets), np.int64, len(encoded.ids))
+        cuts = [0, *(4 * np.searchsorted(places, ends)).tolist()]
+        ids = np.array(encoded.ids, "<u4").tobytes()
+        return {w: ids[a:b] for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
+
+
 def tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Pass one: (doc_id, doc_tokens, start, part, position, ids), a row for each ``CHUNK`` tokens of a document.
 

@@ -16,6 +16,7 @@ words and texts are tokenised whole; no rows give no rows; extra columns are ign
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,14 +39,34 @@ c = F.col
 class WordTokenizer:
     """Ids of a text as little-endian 32-bit words, for a tokenizer that never joins text across a space.
 
-    Such a tokenizer can be asked word by word, and a corpus repeats its words.
+    Such a tokenizer can be asked word by word, and a corpus repeats its words. Most new words are
+    Latin letters with a mark behind: all that normaliser and splitter do to them is to lower-case,
+    to split off the mark and to spell bytes as characters, so they go to the model directly. A few
+    probes make sure of that; another kind of tokenizer is asked in full.
     """
 
+    _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+    _PROBES = ("The", "ÀÉÖØÞ", "àéöøþÿß,", "naïve...", "x?!", "mots;", "WORD:")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        # byte-level BPE: printable bytes stand for themselves, the others for characters from 256 on
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.spelled = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in printable)}
+        plain = (self._model_ids(self._PLAIN(w)) for w in self._PROBES)
+        self.direct = list(plain) == [self._bytes(self.tokenizer.encode(w, add_special_tokens=False).ids) for w in self._PROBES]
+
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return b"".join([i.to_bytes(4, "little") for i in ids])
+
+    def _model_ids(self, word: re.Match) -> bytes:
+        tokenize = self.tokenizer.model.tokenize
+        pieces = (p.lower().encode().decode("latin-1").translate(self.spelled) for p in word.groups() if p)
+        return self._bytes([t.id for p in pieces for t in tokenize(p)])
 
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
@@ -61,15 +82,17 @@ class WordTokenizer:
 
 
     def _ask(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words, encoded as one text and told apart by where their tokens start."""
+        """Ids of new words; those that aren't plain are encoded as one text and told apart by where their tokens start."""
+        found = {w: self._model_ids(m) for w in words if (m := self._PLAIN(w))} if self.direct else {}
+        words = [w for w in words if w not in found]
         if not words:
-            return {}
+            return found
         encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         places = np.fromiter((start for start, _ in encoded.offsets), np.int64, len(encoded.ids))
         cuts = [0, *(4 * np.searchsorted(places, ends)).tolist()]
         ids = np.array(encoded.ids, "<u4").tobytes()
-        return {w: ids[a:b] for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
+        return found | {w: ids[a:b] for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
 
 
 def tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:

@@ -19,7 +19,6 @@ import os
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,13 +35,12 @@ REMEMBERED, REMEMBERED_CHARS = 1 << 19, 48
 c = F.col
 
 
-class WordTokenizer:
-    """Ids of a text as little-endian 32-bit words, for a tokenizer that never joins text across a space.
+class WordIds(dict):
+    """Ids of words as little-endian 32-bit numbers, asked for as they come up, for a tokenizer that never joins text across a space.
 
-    Such a tokenizer can be asked word by word, and a corpus repeats its words. Most new words are
-    Latin letters with a mark behind: all that normaliser and splitter do to them is to lower-case,
-    to split off the mark and to spell bytes as characters, so they go to the model directly. A few
-    probes make sure of that; another kind of tokenizer is asked in full.
+    Most words are Latin letters with a mark behind: all that normaliser and splitter do to them is to
+    lower-case, to split off the mark and to spell bytes as characters, so they go to the model
+    directly. A few probes make sure of that; another kind of tokenizer is asked in full.
     """
 
     _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
@@ -52,47 +50,42 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.pieces = self.tokenizer.model, {"": b""}
+        self.packed = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         # byte-level BPE: printable bytes stand for themselves, the others for characters from 256 on
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.spelled = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in printable)}
-        plain = (self._model_ids(self._PLAIN(w)) for w in self._PROBES)
-        self.direct = list(plain) == [self._bytes(self.tokenizer.encode(w, add_special_tokens=False).ids) for w in self._PROBES]
-
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in ids])
-
-    def _model_ids(self, word: re.Match) -> bytes:
-        tokenize = self.tokenizer.model.tokenize
-        pieces = (p.lower().encode().decode("latin-1").translate(self.spelled) for p in word.groups() if p)
-        return self._bytes([t.id for p in pieces for t in tokenize(p)])
-
-    def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        ids = self._ask(list(set(words).difference(self.known)))
-        if all(len(w) <= REMEMBERED_CHARS for w in ids):
-            self.known |= ids
-            return b"".join(map(self.known.__getitem__, words))
-        now = self.known | ids
-        self.known |= {w: i for w, i in ids.items() if len(w) <= REMEMBERED_CHARS}
-        return b"".join(map(now.__getitem__, words))
-
-
-    def _ask(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words; those that aren't plain are encoded as one text and told apart by where their tokens start."""
-        found = {w: self._model_ids(m) for w in words if (m := self._PLAIN(w))} if self.direct else {}
-        words = [w for w in words if w not in found]
-        if not words:
-            return found
-        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        places = np.fromiter((start for start, _ in encoded.offsets), np.int64, len(encoded.ids))
-        cuts = [0, *(4 * np.searchsorted(places, ends)).tolist()]
-        ids = np.array(encoded.ids, "<u4").tobytes()
-        return found | {w: ids[a:b] for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
+        self.direct = all(self._direct(*self._PLAIN(w).groups()) == self._full(w) for w in self._PROBES)
+
+    def __missing__(self, word: str) -> bytes:
+        plain = self._PLAIN(word) if self.direct else None
+        ids = self._direct(*plain.groups()) if plain else self._full(word)
+        if len(word) <= REMEMBERED_CHARS:
+            self[word] = ids
+        return ids
+
+    def _full(self, text: str) -> bytes:
+        return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
+    def _direct(self, letters: str, mark: str) -> bytes:
+        return self._piece(letters.lower()) + self._piece(mark)
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of lower-case letters or of a mark; a word comes in several cases and with several marks."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.spelled)
+            ids = b"".join([self.packed[t.id] for t in self.model.tokenize(spelled)])
+            if len(piece) <= REMEMBERED_CHARS:
+                self.pieces[piece] = ids
+        return ids
+
+    def of(self, text: str) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.pieces = {"": b""}
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -103,11 +96,11 @@ def tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     end = end_id.to_bytes(4, "little")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part, position = WordTokenizer(tokenizer_path), TaskContext.get().partitionId(), 0
+        words, part, position = WordIds(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encoder(text or "") + end
+                ids = words.of(text or "") + end
                 n = len(ids) // 4
                 for start in range(0, n, CHUNK):
                     piece = ids[4 * start : 4 * (start + CHUNK)]

@@ -16,9 +16,8 @@ RANKED = [
 ]
 # One-row reports, top-k reports and capped lists; everything else must stay distributed.
 SINGLE_TASK = {
-    "coverage_status", "dedup_stats", "exchange_totals", "not_found_count", "row_status", "run_log", "symbol_directory_totals",
-    "us_prices_by_time", "us_prices_rejects",
-    "multi_class_parents", "suffix_counts", "symbol_directory_variants", "cap_by_symbol", "cap_by_position",
+    "coverage_status", "dedup_stats", "exchange_totals", "not_found_count", "row_status", "run_log", "run_log_by_time", "run_log_early_exit", "symbol_directory_totals",
+    "top_multi_class_parents", "top_suffixes", "cap_by_symbol", "cap_by_position",
 }
 
 
@@ -50,9 +49,7 @@ def test_no_cross_join_python_or_single_task(plan, name):
     text = plan(name)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
         assert node not in text
-    # parents capped at ten may be broadcast, nothing else without a size check
-    if name != "symbol_directory_variants":
-        assert "BroadcastExchange" not in text
+    assert "BroadcastExchange" not in text
     if name not in SINGLE_TASK:
         assert "Exchange SinglePartition" not in text and "TakeOrderedAndProject" not in text
 

@@ -67,7 +67,8 @@ def fixed_text(value: Column, places: int) -> Column:
 
     ``format_string`` and decimal casts round the shortest decimal text instead, so 1.005 would
     come out as 1.01 although the stored number lies below the tie. Here ``value * 10^places`` is
-    split into its rounded product and the exact remainder, and the remainder settles ties.
+    split into its rounded product and the exact remainder, and the remainder settles ties. Larger
+    numbers have few binary places left, or none, and are spelled digit by digit. ``places`` is at most 6.
     """
     return _named(value, lambda v: _fixed_text(v, places))
 
@@ -91,11 +92,47 @@ def _fixed_text(value: Column, places: int) -> Column:
     )
     sign = F.when(value.cast("string").startswith("-"), "-").otherwise("")
 
-    def spelled(n: Column) -> Column:
-        whole = ((n - n % unit) / unit).cast("bigint").cast("string")
-        return F.concat(sign, whole, F.lit("."), F.lpad((n % unit).cast("string"), places, "0"))
+    def text(whole: Column, parts: Column) -> Column:
+        return F.concat(sign, whole.cast("string"), F.lit("."), F.lpad(parts.cast("string"), places, "0"))
 
-    # From 2^52 scaled units on the split is no longer exact, and neither does rounding matter.
-    return F.when(product < 2.0**52, _named(base + round_up.cast("bigint"), spelled)).when(
-        product >= 2.0**52, F.format_string(f"%.{places}f", value)
+    def spelled(n: Column) -> Column:
+        return text(((n - n % unit) / unit).cast("bigint"), n % unit)
+
+    # From 2^52 scaled units on the split is no longer exact, but the fraction has so few bits left
+    # that its product with the unit is.
+    whole = F.floor(size)
+    parts = F.rint((size - whole) * scale).cast("bigint")
+    carried = text(whole + (parts >= unit).cast("bigint"), parts % unit)
+    return (
+        F.when(F.isnan(value), "nan")
+        .when(size == float("inf"), F.concat(sign, F.lit("inf")))
+        .when(product < 2.0**52, _named(base + round_up.cast("bigint"), spelled))
+        .when(size < 2.0**62, carried)
+        .when(size >= 2.0**62, text(_integer_digits(size), F.lit(0)))
     )
+
+
+def _integer_digits(size: Column) -> Column:
+    """All digits of a DOUBLE of 2^62 or more: its 53 bits in limbs of nine digits, doubled as often as it takes."""
+    limb, step = 10**9, 20
+    doublings = F.floor(F.log2(size)).cast("int") - 54  # leaves a whole number below 2^56
+
+    def whole(y: Column) -> Column:
+        return ((y - y % limb) / limb).cast("bigint")
+
+    def times(limbs: Column, factor: Column) -> Column:
+        empty = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+
+        def one(acc: Column, x: Column) -> Column:
+            y = x * factor + acc["carry"]
+            return F.struct(whole(y).alias("carry"), F.concat(acc["out"], F.array(y % limb)).alias("out"))
+
+        return F.aggregate(limbs, empty, one, lambda acc: F.concat(acc["out"], F.array(acc["carry"])))
+
+    start = (size / F.pow(F.lit(2.0), doublings)).cast("bigint")
+    limbs = F.array(start % limb, whole(start))
+    rounds = F.sequence(F.lit(1), F.greatest(F.floor(doublings / step).cast("int"), F.lit(1)))
+    limbs = F.aggregate(rounds, limbs, lambda acc, _: times(acc, F.when(doublings >= step, 1 << step).otherwise(1)))
+    limbs = times(limbs, F.pow(F.lit(2.0), doublings % step).cast("bigint"))
+    digits = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    return F.ltrim(digits, F.lit("0"))

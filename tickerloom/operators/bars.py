@@ -206,13 +206,17 @@ def drop_empty_bars(bars: DataFrame) -> DataFrame:
     return bars.dropna(how="all", subset=OHLCV)
 
 
-def panel_bars(long: DataFrame, day: str = "date") -> DataFrame:
+def panel_bars(long: DataFrame, day: str = "date", position: tuple[str, ...] = ()) -> DataFrame:
     """Long panel rows -> one bar per ticker.
 
+    Of repeated days the last landed row by ``position`` comes first, then by its values, so that a
+    ticker in two overlapping panels gives the same bar in every run.
+
     Takes the last two days of a ticker first and drops empty rows after that, so a ticker whose
     newest day is empty falls back one day and then has no previous close.
     """
-    window = Window.partitionBy("ticker").orderBy(F.col(day).desc())
+    ties = [F.col(name).desc_nulls_last() for name in (*position, "Close", "Volume", "High", "Low", "Open")]
+    window = Window.partitionBy("ticker").orderBy(F.col(day).desc(), *ties)
     recent = long.withColumn("age", F.row_number().over(window)).where("age <= 2")
     bar = F.struct(*OHLCV, F.col(day).alias("latest_day"))
     reduced = drop_empty_bars(recent).groupBy("ticker").agg(

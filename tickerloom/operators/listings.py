@@ -16,12 +16,12 @@ from tickerloom.functions.symbols import (
     vendor_symbol,
 )
 from tickerloom.operators.bars import optional
-from tickerloom.operators.ranking import last_per_key
+from tickerloom.operators.ranking import last_per_key, top_per_key
 from tickerloom.sources.files import require_columns
 
 
-def multi_class_parents(listings: DataFrame, limit: int | None = 10, position: tuple[str, ...] = ()) -> DataFrame:
-    """Parents with more than one instrument, the first ``limit`` by symbol, with the parent's first name."""
+def multi_class_parents(listings: DataFrame, limit: int | None = None, position: tuple[str, ...] = ()) -> DataFrame:
+    """Parents with more than one instrument, with the parent's first name; ``limit`` keeps the first by symbol."""
     name = (
         F.min_by("parent_name", F.struct(*position)) if position else F.min("parent_name")
     )
@@ -34,11 +34,9 @@ def multi_class_parents(listings: DataFrame, limit: int | None = 10, position: t
     return counted if limit is None else counted.orderBy("parent_symbol").limit(limit)
 
 
-def variants_of_parents(listings: DataFrame, limit: int | None = 10, position: tuple[str, ...] = ()) -> DataFrame:
+def variants_of_parents(listings: DataFrame, limit: int | None = None, position: tuple[str, ...] = ()) -> DataFrame:
     """The instruments of each multi-class parent, under the parent's first name."""
     parents = multi_class_parents(listings, limit, position).select("parent_symbol", "first_parent_name")
-    if limit is not None:
-        parents = F.broadcast(parents)  # at most ``limit`` rows
     return listings.join(parents, "parent_symbol").select("parent_symbol", "first_parent_name", "symbol", "name")
 
 
@@ -46,16 +44,15 @@ def with_suffix(listings: DataFrame) -> DataFrame:
     return listings.withColumn("suffix", listing_suffix(F.col("symbol")))
 
 
-def suffix_counts(listings: DataFrame, limit: int = 20) -> DataFrame:
-    """The most frequent symbol suffixes."""
-    return (
+def suffix_counts(listings: DataFrame, limit: int | None = None) -> DataFrame:
+    """Symbols per suffix; ``limit`` keeps the most frequent."""
+    counted = (
         listings.select(listing_suffix(F.col("symbol")).alias("suffix"))
         .where("suffix is not null")
         .groupBy("suffix")
         .agg(F.count("*").alias("symbols"))
-        .orderBy(F.desc("symbols"), "suffix")
-        .limit(limit)
     )
+    return counted if limit is None else counted.orderBy(F.desc("symbols"), "suffix").limit(limit)
 
 
 def exchange_totals(listings: DataFrame) -> DataFrame:
@@ -84,11 +81,12 @@ def official_symbols(listings: DataFrame, position: list[str], cap: int | None =
     return filled.withColumn("yahoo_symbol", vendor_symbol(F.col("symbol"), F.col("exchange")))
 
 
-def vendor_symbol_map(official: DataFrame, position: list[str]) -> DataFrame:
+def vendor_symbol_map(official: DataFrame, position: list[str], keep_position: bool = False) -> DataFrame:
     """Vendor symbol -> listed symbol and market; the last listing of a vendor symbol wins."""
     return last_per_key(official, ["yahoo_symbol"], position).select(
-        F.col("yahoo_symbol").alias("vendor_symbol"), "symbol", market_code(F.col("exchange")).alias("exchange")
-    )
+        F.col("yahoo_symbol").alias("vendor_symbol"), "symbol", market_code(F.col("exchange")).alias("exchange"),
+        *(position if keep_position else []),
+    )
 
 
 def to_listed_symbols(bars: DataFrame, symbol_map: DataFrame) -> DataFrame:
@@ -96,6 +94,15 @@ def to_listed_symbols(bars: DataFrame, symbol_map: DataFrame) -> DataFrame:
     return bars.join(symbol_map, "vendor_symbol").drop("vendor_symbol")
 
 
+def one_per_listing(bars: DataFrame, position: list[str]) -> DataFrame:
+    """One bar per listed symbol: of a symbol listed on several exchanges the newest day, then the first listing.
+
+    The table's key has the market, not the exchange, so a second bar of the day would break it.
+    """
+    order = [F.col("latest_day").desc(), *(F.col(p) for p in position)]
+    return top_per_key(bars, ["symbol"], order).drop(*position)
+
+
 def vendor_symbol_lookup(instrument_meta: DataFrame) -> DataFrame:
     """Stored vendor symbol per symbol, where there is one."""
     return instrument_meta.where("yahoo_symbol is not null").select("symbol", "yahoo_symbol")

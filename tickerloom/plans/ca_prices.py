@@ -10,8 +10,9 @@ from tickerloom.operators.bars import BAR_COLUMNS
 
 
 def _append(found: DataFrame, symbol_list: DataFrame, stored: DataFrame, position: list[str]) -> DataFrame:
-    symbol_map = listings.vendor_symbol_map(listings.official_symbols(symbol_list, position), position)
-    return gate.gated_append(listings.to_listed_symbols(found, symbol_map), stored, "CA").select(*BAR_COLUMNS)
+    symbol_map = listings.vendor_symbol_map(listings.official_symbols(symbol_list, position), position, keep_position=True)
+    listed = listings.one_per_listing(listings.to_listed_symbols(found, symbol_map), position)
+    return gate.gated_append(listed, stored, "CA").select(*BAR_COLUMNS)
 
 
 def ca_prices_quotes(symbol_list: DataFrame, quotes: DataFrame, stored: DataFrame, position: list[str]) -> DataFrame:
@@ -19,9 +20,11 @@ def ca_prices_quotes(symbol_list: DataFrame, quotes: DataFrame, stored: DataFram
     return _append(bars.quote_bars(quotes), symbol_list, stored, position)
 
 
-def ca_prices_panel(symbol_list: DataFrame, panel: DataFrame, stored: DataFrame, position: list[str]) -> DataFrame:
-    """From long panel rows (``ticker``, ``date``, OHLCV)."""
-    return _append(bars.panel_bars(panel), symbol_list, stored, position)
+def ca_prices_panel(
+    symbol_list: DataFrame, panel: DataFrame, stored: DataFrame, position: list[str], panel_position: tuple[str, ...] = ()
+) -> DataFrame:
+    """From long panel rows (``ticker``, ``date``, OHLCV); ``panel_position`` orders panels that overlap."""
+    return _append(bars.panel_bars(panel, position=panel_position), symbol_list, stored, position)
 
 
 def ca_prices_fallback(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tickerloom.operators import bars, gate
+from tickerloom.operators import bars, coverage, gate, runlog
 from tickerloom.operators.bars import BAR_COLUMNS
+from tickerloom.session import written_once
 
 
 def us_price_bars(prices: DataFrame, financials: DataFrame, position: list[str], variant: str = "latest") -> DataFrame:
@@ -38,11 +39,31 @@ def us_prices_by_time(
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows to append, rejects)`` for a target with an ``as_of`` column.
 
-    A bar that cannot be compared is rejected even if it has no price: the gate comes first.
+    A bar that cannot be compared is rejected even if it has no price: the gate comes first. The bars,
+    one per symbol, are computed once and written; both outputs and the look for times read them.
     """
     if "as_of" not in stored.columns:
         accepted = us_prices(prices, financials, stored, position, variant)
         return accepted, accepted.where("false")
-    found = us_price_bars(prices, financials, position, variant)
+    found = written_once(us_price_bars(prices, financials, position, variant))
     accepted, rejects = gate.gate_by_time(found, stored, "US")
     return bars.require_price(accepted).select(*BAR_COLUMNS, "as_of"), rejects.select(*BAR_COLUMNS, "reason")
+
+
+def us_prices_status(
+    prices: DataFrame, financials: DataFrame, stored: DataFrame, position: list[str], variant: str = "latest"
+) -> DataFrame:
+    """The run's status row: symbols of the universe found, appended, and rejected as errors."""
+    if "as_of" not in stored.columns:
+        found = us_price_bars(prices, financials, position, variant)
+        return coverage.outcome_status(gate.gate_outcomes(found, stored, "US"))
+    found = written_once(us_price_bars(prices, financials, position, variant))
+    accepted, rejects = gate.gate_by_time(found, stored, "US")
+    return coverage.outcome_status(coverage.symbol_outcomes(found, bars.require_price(accepted), rejects))
+
+
+def us_prices_early_exit(financials: DataFrame) -> DataFrame | None:
+    """The status row of a run that has nothing to load prices for, else None."""
+    if gate.distinct_tickers(financials, "US").isEmpty():
+        return runlog.plain_status(financials.sparkSession, "warning", "No US tickers found in financials table")
+    return None

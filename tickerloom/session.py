@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -28,14 +27,19 @@ def get_session(app_name: str = "tickerloom", master: str | None = None, setting
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``, or the checkpoint folder the context was given.
 
-    Only a ``local[..]`` master may fall back to a machine-local folder: on a cluster the
-    executors would each write to a different disk.
+    One of them has to be set. There is no fallback: in a machine-local folder every executor would
+    write to a different disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tickerloom-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/tickerloom/{uuid.uuid4().hex}"
+
+
+def written_once(frame: DataFrame) -> DataFrame:
+    """``frame`` written to the shared scratch folder and read back, for results that are used several times."""
+    path = scratch_dir(frame.sparkSession)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -37,11 +37,12 @@ _PARENTS = """SELECT parent_symbol, count(*) AS instruments, arg_min(parent_name
    FROM {} WHERE parent_symbol IS NOT NULL GROUP BY parent_symbol HAVING count(*) > 1"""
 
 
-@query(
-    "multi_class_parents",
-    f"WITH {FLAT} {_PARENTS.format('flat')} ORDER BY parent_symbol LIMIT 10",
-    "directory_docs",
-)
+@query("multi_class_parents", f"WITH {FLAT} {_PARENTS.format('flat')}", "directory_docs")
+def _(t):
+    return listings.multi_class_parents(_flat(t), position=PLACE)
+
+
+@query("top_multi_class_parents", f"WITH {FLAT} {_PARENTS.format('flat')} ORDER BY parent_symbol LIMIT 10", "directory_docs")
 def _(t):
     return listings.multi_class_parents(_flat(t), 10, PLACE)
 
@@ -52,19 +53,23 @@ def _(t):
     "directory_docs",
 )
 def _(t):
-    return listings.variants_of_parents(_flat(t), None, PLACE)
+    return listings.variants_of_parents(_flat(t), position=PLACE)
 
 
-@query(
-    "suffix_counts",
-    rf"""WITH {FLAT} SELECT suffix, count(*) AS symbols FROM (SELECT nullif(regexp_extract(symbol, '\.([A-Z]+)$', 1), '') AS suffix FROM flat)
-        WHERE suffix IS NOT NULL GROUP BY suffix ORDER BY symbols DESC, suffix LIMIT 20""",
-    "directory_docs",
-)
+_SUFFIXES = rf"""WITH {FLAT} SELECT suffix, count(*) AS symbols FROM (SELECT nullif(regexp_extract(symbol, '\.([A-Z]+)$', 1), '') AS suffix FROM flat)
+        WHERE suffix IS NOT NULL GROUP BY suffix"""
+
+
+@query("suffix_counts", _SUFFIXES, "directory_docs")
 def _(t):
     return listings.suffix_counts(_flat(t))
 
 
+@query("top_suffixes", f"{_SUFFIXES} ORDER BY symbols DESC, suffix LIMIT 20", "directory_docs")
+def _(t):
+    return listings.suffix_counts(_flat(t), 20)
+
+
 _TOTALS = """SELECT count(*) AS total, count(*) FILTER (exchange = 'TSX') AS tsx, count(*) FILTER (exchange = 'TSXV') AS tsxv FROM {}"""
 
 
@@ -89,7 +94,7 @@ def symbol_directory(t):
 
 @query(
     "symbol_directory_variants",
-    f"""WITH {FLAT}, tsx AS (SELECT * FROM flat WHERE exchange = 'TSX'), parents AS ({_PARENTS.format('tsx')} ORDER BY parent_symbol LIMIT 10)
+    f"""WITH {FLAT}, tsx AS (SELECT * FROM flat WHERE exchange = 'TSX'), parents AS ({_PARENTS.format('tsx')})
         SELECT parent_symbol, first_parent_name, symbol, name FROM tsx JOIN parents USING (parent_symbol)""",
     "directory_docs",
 )
@@ -215,11 +220,12 @@ def _(t):
 
 @query(
     "not_found_count",
-    "SELECT count(*) AS processed, count(*) FILTER (info IS NULL OR info IN ('{}', 'null')) AS not_found FROM infos",
-    "infos",
+    """SELECT count(*) AS processed, count(*) FILTER (info IS NULL OR info IN ('{}', 'null')) AS not_found
+       FROM issuers LEFT JOIN infos USING (symbol)""",
+    "infos issuers",
 )
 def _(t):
-    return instruments.not_found_count(t.infos)
+    return ca_listings.ca_instruments_not_found(t.issuers, t.infos)
 
 
 @query(
@@ -228,4 +234,15 @@ def _(t):
     "infos issuers",
 )
 def ca_instruments(t):
-    return ca_listings.ca_instruments(t.issuers, t.infos.drop("ord"))
+    return ca_listings.ca_instruments(t.issuers, t.infos)
+
+
+@query(
+    "ca_instrument_table",
+    f"""WITH {INSTRUMENTS}, listed AS (SELECT * FROM instruments SEMI JOIN issuers USING (symbol))
+        SELECT symbol, yahoo_symbol, long_name, nav_price FROM meta_stored ANTI JOIN listed USING (symbol)
+        UNION ALL SELECT symbol, symbol, long_name, nav_price FROM listed""",
+    "infos issuers meta_stored",
+)
+def _(t):
+    return ca_listings.ca_instrument_table(t.issuers, t.infos, t.meta_stored, ["ord"])

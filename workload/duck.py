@@ -68,5 +68,5 @@ OFFICIAL = f"""official AS (
     FROM symbol_list WHERE symbol IS NOT NULL AND exchange IS NOT NULL)
   WHERE symbol <> '')"""
 SYMBOL_MAP = """symbol_map AS (
-  SELECT yahoo_symbol AS vendor_symbol, symbol FROM official
+  SELECT yahoo_symbol AS vendor_symbol, symbol, ord AS place FROM official
   QUALIFY row_number() OVER (PARTITION BY yahoo_symbol ORDER BY ord DESC) = 1)"""

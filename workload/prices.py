@@ -60,22 +60,24 @@ def _(t):
     return us_prices.us_prices(t.prices_bulk.drop("DateTime"), t.financials_stored, t.stored_us, POSITION, "daily")
 
 
-_BY_TIME = f"""WITH {BARS}, {LATEST}, {PREVIOUS}, {UNIVERSE},
+BY_TIME = f"""WITH {BARS}, {LATEST}, {PREVIOUS}, {UNIVERSE},
   marks AS (SELECT symbol, max(latest_day + INTERVAL 10 HOUR) AS seen_time, max(latest_day) AS seen_day FROM stored_us WHERE exchange = 'US' GROUP BY symbol),
   typed AS (SELECT symbol, 'US' AS exchange, {TYPED}, as_of, previous_close FROM latest LEFT JOIN previous USING (symbol)),
   found AS (SELECT * FROM typed SEMI JOIN universe USING (symbol)),
-  judged AS (SELECT *, (SELECT bool_or(as_of IS NOT NULL) FROM found) AS timed FROM found LEFT JOIN marks USING (symbol))
-  """
+  judged AS (SELECT *, (SELECT bool_or(as_of IS NOT NULL) FROM found) AS timed FROM found LEFT JOIN marks USING (symbol))"""
+
+
+def stored_with_times(t):
+    return t.stored_us.withColumn("as_of", c("latest_day").cast("timestamp_ntz") + F.expr("interval 10 hours"))
 
 
 def _by_time(t):
-    stored = t.stored_us.withColumn("as_of", c("latest_day").cast("timestamp_ntz") + F.expr("interval 10 hours"))
-    return us_prices.us_prices_by_time(t.prices_bulk, t.financials_stored, stored, POSITION, "daily")
+    return us_prices.us_prices_by_time(t.prices_bulk, t.financials_stored, stored_with_times(t), POSITION, "daily")
 
 
 @query(
     "us_prices_by_time",
-    f"""{_BY_TIME} SELECT {OUT}, as_of FROM judged WHERE price IS NOT NULL AND CASE WHEN timed THEN seen_time IS NULL OR as_of > seen_time
+    f"""{BY_TIME} SELECT {OUT}, as_of FROM judged WHERE price IS NOT NULL AND CASE WHEN timed THEN seen_time IS NULL OR as_of > seen_time
         ELSE seen_day IS NULL OR latest_day > seen_day END""",
     US_VIEWS,
 )
@@ -85,7 +87,7 @@ def _(t):
 
 @query(
     "us_prices_rejects",
-    f"""{_BY_TIME} SELECT {OUT}, 'bar has no time to compare' AS reason FROM judged
+    f"""{BY_TIME} SELECT {OUT}, 'bar has no time to compare' AS reason FROM judged
         WHERE timed AND as_of IS NULL AND seen_time IS NOT NULL""",
     US_VIEWS,
 )
@@ -241,7 +243,8 @@ def _(t):
 def _ca(found: str, listings_view: str = "symbol_list", stored: str = "stored_ca") -> str:
     official = duck.OFFICIAL.replace("symbol_list", listings_view)
     return f"""{official}, {duck.SYMBOL_MAP}, {SEEN_CA.format(stored)},
-      mapped AS (SELECT symbol_map.symbol, 'CA' AS exchange, f.* FROM {found} f JOIN symbol_map USING (vendor_symbol))
+      mapped AS (SELECT symbol_map.symbol, 'CA' AS exchange, f.* FROM {found} f JOIN symbol_map USING (vendor_symbol)
+        QUALIFY row_number() OVER (PARTITION BY symbol_map.symbol ORDER BY latest_day DESC, place) = 1)
       SELECT {OUT} FROM mapped LEFT JOIN seen USING (symbol) WHERE last_seen IS NULL OR latest_day > last_seen"""
 
 

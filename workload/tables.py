@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tickerloom import schemas
 from tickerloom.operators import bars, coverage, gate, listings, merge, runlog
 from tickerloom.plans import us_financials as us
+from tickerloom.plans import us_prices as us_plan
 from tickerloom.session import scratch_dir
 from tickerloom.sinks import tables
 from tickerloom.sources import files
@@ -15,7 +16,7 @@ from workload import duck
 from workload.directory import ISSUER_ROWS, _directory, symbol_directory
 from workload.directory import FLAT, _SYMBOLS
 from workload.financials import _LOADED, STATEMENTS, us_financials
-from workload.prices import BARS, LATEST, OUT, POSITION, SEEN, TYPED
+from workload.prices import BARS, BY_TIME, LATEST, OUT, POSITION, SEEN, TYPED, UNIVERSE, US_VIEWS, stored_with_times
 from workload.registry import query
 
 c = F.col
@@ -163,18 +164,43 @@ def _(t):
     return logs.withColumns({n: c(n).cast("timestamp_ntz") for n in ("started_at", "ended_at")})
 
 
-_FOUND = f"""WITH {BARS}, {LATEST}, {SEEN}, typed AS (SELECT symbol, {TYPED} FROM latest),
+_FOUND = f"""WITH {BARS}, {LATEST}, {SEEN}, {UNIVERSE}, typed AS (SELECT symbol, {TYPED} FROM latest SEMI JOIN universe USING (symbol)),
   appended AS (SELECT symbol FROM typed LEFT JOIN seen USING (symbol) WHERE price IS NOT NULL AND (last_seen IS NULL OR latest_day > last_seen)),
-  n AS (SELECT count(*) AS total, count(*) FILTER (symbol IN (SELECT symbol FROM appended)) AS done, CAST(0 AS BIGINT) AS errors FROM latest)"""
+  n AS (SELECT count(*) AS total, count(*) FILTER (symbol IN (SELECT symbol FROM appended)) AS done, CAST(0 AS BIGINT) AS errors FROM typed)"""
 
 
-@query("run_log", f"{_FOUND} SELECT 'us_prices' AS script, {_STATUS}, {_LOG} FROM n", "prices_bulk stored_us")
-def _(t):
-    found = bars.bulk_to_bars(bars.latest_only(bars.bulk_bars(t.prices_bulk), POSITION))
-    log = _log_rows(coverage.outcome_status(gate.gate_outcomes(found, t.stored_us, "US")))
+def _zoneless(log):
     return log.withColumns({n: c(n).cast("timestamp_ntz") for n in ("started_at", "ended_at")})
 
 
+@query("run_log", f"{_FOUND} SELECT 'us_prices' AS script, {_STATUS}, {_LOG} FROM n", US_VIEWS)
+def _(t):
+    return _zoneless(_log_rows(us_plan.us_prices_status(t.prices_bulk, t.financials_stored, t.stored_us, POSITION)))
+
+
+@query(
+    "run_log_by_time",
+    f"""{BY_TIME}, n AS (SELECT count(*) AS total,
+          count(*) FILTER (price IS NOT NULL AND CASE WHEN timed THEN seen_time IS NULL OR as_of > seen_time ELSE seen_day IS NULL OR latest_day > seen_day END) AS done,
+          count(*) FILTER (timed AND as_of IS NULL AND seen_time IS NOT NULL) AS errors FROM judged)
+        SELECT 'us_prices' AS script, {_STATUS}, {_LOG} FROM n""",
+    US_VIEWS,
+)
+def _(t):
+    status = us_plan.us_prices_status(t.prices_bulk, t.financials_stored, stored_with_times(t), POSITION, "daily")
+    return _zoneless(_log_rows(status))
+
+
+@query(
+    "run_log_early_exit",
+    f"""SELECT 'us_prices' AS script, 'warning' AS status, 'No US tickers found in financials table' AS message, '{{}}' AS details, {_LOG}
+        WHERE NOT EXISTS (SELECT 1 FROM financials_stored WHERE exchange = 'US' AND stmt_type = 'none')""",
+    "financials_stored",
+)
+def _(t):
+    return _zoneless(_log_rows(us_plan.us_prices_early_exit(t.financials_stored.where("stmt_type = 'none'"))))
+
+
 _RUNS = """ordered AS (SELECT *, sum(CASE WHEN exit_code NOT IN (0, 2) THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY step_no) AS fails FROM steps),
   aborts AS (SELECT run_id, min(step_no) AS abort_step FROM ordered WHERE exit_code = 2 OR (fails >= 3 AND exit_code <> 0) GROUP BY run_id),
   outcome AS (SELECT s.run_id, count(*) AS steps_planned, count(*) FILTER (exit_code NOT IN (0, 2) AND step_no <= coalesce(abort_step, 999999999)) AS counted_failures,

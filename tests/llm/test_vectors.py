@@ -91,7 +91,7 @@ def test_forest_recall(spark, sf_dir):
 def test_forest_copies_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(hash_forest, "BLOCK", 100)
     monkeypatch.setattr(hash_forest, "QUERIES", 7)
-    rows = vectors(300, 8, 5) + [(1000 + i, rows_copy, 0) for i, rows_copy in enumerate([[0.5, 0.5, 0.5, 0.5, 0.0, 0.0, 0.0, 0.0]] * 120)] + ODD
+    rows = vectors(300, 8, 5, 5000) + [(1000 + i, rows_copy, 0) for i, rows_copy in enumerate([[0.5, 0.5, 0.5, 0.5, 0.0, 0.0, 0.0, 0.0]] * 120)] + ODD
     frame = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("label", "ids").repartition(3)
     want, got = plain(rows, 20, 20, dot, zero=False), by_query(hash_forest.nearest(frame, 20, 20))
     assert got.keys() == {q for q, r in want.items() if r}

@@ -62,8 +62,13 @@ def test_fixed_text_rounds_like_a_binary_formatter(spark, values):
 
 def test_lenient_day(texts):
     day = datetime.date(2020, 12, 31)
-    values = ["2020-12-31", "20201231", "12/31/2020", "2020-12-31 10:00:00", "2020-13-01", "TTM", "", None]
-    assert texts(dates.lenient_day, values) == [day, day, day, day, None, None, None, None]
+    values = ["2020-12-31", "20201231", "12/31/2020", "2020-12-31 10:00:00", "2020/12/31", "31 Dec 2020", "Dec 31, 2020", "12-31-2020"]
+    values += ["31/12/2020", "12/31/20", " 12/31/2020 10:30", "December 31, 2020", "31-Dec-2020"]
+    assert texts(dates.lenient_day, values) == [day] * len(values)
+    assert texts(dates.strict_day, values) == [day] * len(values)
+    assert texts(dates.lenient_day, ["2020-13-01", "TTM", "", None]) == [None] * 4
+    assert texts(dates.lenient_day, ["1/31/2024", "1/2/2024"]) == [datetime.date(2024, 1, 31), datetime.date(2024, 1, 2)]
+    assert texts(dates.lenient_day, ["12/31/95"]) == [datetime.date(1995, 12, 31)]
 
 
 def test_epoch_day_is_utc_whatever_the_session(spark, one):

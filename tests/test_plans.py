@@ -16,7 +16,7 @@ RANKED = [
 ]
 # One-row reports, top-k reports and capped lists; everything else must stay distributed.
 SINGLE_TASK = {
-    "coverage_status", "dedup_stats", "exchange_totals", "not_found_count", "row_status", "run_log", "run_log_by_time", "run_log_early_exit", "symbol_directory_totals",
+    "coverage_status", "dedup_stats", "exchange_totals", "not_found_count", "us_prices_by_time", "us_prices_rejects", "row_status", "run_log", "run_log_by_time", "run_log_early_exit", "symbol_directory_totals",
     "top_multi_class_parents", "top_suffixes", "cap_by_symbol", "cap_by_position",
 }
 
@@ -79,3 +79,12 @@ def test_same_results_without_broadcasts(spark, sf_dir, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert good, note
+
+
+def test_bulk_scan_reads_one_partition(spark, sf_dir):
+    from workload.tables import bulk_scan
+
+    frame = bulk_scan(registry.Tables(spark, sf_dir))
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*market.*variant", text)
+    assert {"landed_file", "landed_row", "market", "variant"} <= set(frame.columns)

@@ -6,17 +6,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Date forms besides ISO, month first where both readings are possible.
+DAY_FORMATS = [
+    "yyyyMMdd", "yyyy/M/d", "yyyy.M.d",
+    "M/d/yyyy", "M-d-yyyy", "M.d.yyyy",
+    "d/M/yyyy", "d-M-yyyy", "d.M.yyyy",
+    "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
+]
+SHORT_YEAR_FORMATS = ["M/d/yy", "d/M/yy"]
+
+
 def strict_day(text: Column) -> Column:
-    """A day; a text that is no date fails the query (ANSI cast)."""
-    return text.cast("date")
+    """A day in any form :func:`lenient_day` reads; another text fails the query (ANSI cast)."""
+    return F.coalesce(lenient_day(text), text.cast("date"))
 
 
 def lenient_day(text: Column) -> Column:
-    """A day from ``2024-01-31``, ``20240131`` or ``1/31/2024``, with or without a time; else null."""
-    iso = F.regexp_replace(F.trim(text), r"^(\d{1,2})/(\d{1,2})/(\d{4})\b", "$3-$1-$2")
-    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    # Nearly all texts are ISO days already and never reach the rewriting.
-    return F.coalesce(text.try_cast("date"), iso.try_cast("date"))
+    """A day from an ISO text or one of the forms above, with or without a time behind it; else null."""
+    bare = F.regexp_replace(F.trim(text), r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?$", "")
+    others = [F.try_to_timestamp(bare, F.lit(f)).cast("date") for f in DAY_FORMATS]
+    for form in SHORT_YEAR_FORMATS:  # 69 to 99 are of the last century, as in POSIX
+        day = F.try_to_timestamp(bare, F.lit(form)).cast("date")
+        others.append(F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day))
+    # Nearly all texts are ISO days already and never reach the other forms, nor do texts without a digit.
+    return F.coalesce(text.try_cast("date"), F.when(bare.rlike("[0-9]"), F.coalesce(*others)))
+
+
+def unread_days(frame, text: str):
+    """One row: how many filled texts :func:`lenient_day` can't read, for the log of a load that skips them."""
+    filled = F.trim(F.col(f"`{text}`")) != ""
+    return frame.agg(F.count_if(filled & lenient_day(F.col(f"`{text}`")).isNull()).alias("unread"))
 
 
 def lenient_time(text: Column) -> Column:

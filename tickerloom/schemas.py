@@ -120,7 +120,7 @@ DIRECTORY = StructType(
 _QUOTE = _struct(
     symbol=_S, regularMarketPrice=_S, regularMarketOpen=_S, regularMarketDayHigh=_S,
     regularMarketDayLow=_S, regularMarketVolume=_S, regularMarketPreviousClose=_S,
-    regularMarketTime=LongType(), postMarketTime=LongType(), preMarketTime=LongType(),
+    regularMarketTime=_S, postMarketTime=_S, preMarketTime=_S,
 )
 QUOTES = StructType(
     [

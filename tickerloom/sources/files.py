@@ -36,8 +36,11 @@ def with_position(frame: DataFrame) -> DataFrame:
 
 def _header_schema(spark: SparkSession, path, sep: str) -> StructType:
     # Header only: schema inference with every column as text does not read the data.
-    names = spark.read.options(sep=sep, header=True, inferSchema=False).csv(path).columns
-    return StructType([StructField(n, StringType()) for n in names])
+    found = spark.read.options(sep=sep, header=True, inferSchema=False).csv(path)
+    # Folder partitions stand behind the file's own columns and are not part of the header.
+    folders = found.inputFiles()[0].split("/")[:-1] if found.columns else []
+    partitions = {f.split("=", 1)[0] for f in folders if "=" in f}
+    return StructType([StructField(n, StringType()) for n in found.columns if n not in partitions])
 
 
 def read_bulk_csv(
@@ -47,15 +50,22 @@ def read_bulk_csv(
     keys: tuple[str, ...] = ("Ticker",),
     sep: str = ";",
     position: bool = True,
+    market: str | None = None,
+    variant: str | None = None,
 ) -> DataFrame:
     """Scan a bulk dataset: ``;``-delimited, with header, every column as text.
 
-    ``path`` may be a folder whose ``market=..`` / ``variant=..`` partitions become columns.
-    Missing-value texts turn to null in all columns but ``keys``, so a ticker spelled ``NA`` stays.
+    ``path`` may be a folder whose ``market=..`` / ``variant=..`` partitions become columns; ``market``
+    and ``variant`` take one of them. That filter comes before the row ids, which it could not pass,
+    so other folders are not read. Missing-value texts turn to null in all columns of the files but
+    ``keys``, so a ticker spelled ``NA`` stays, and so does a folder of that name.
     """
     schema = schema or _header_schema(spark, path, sep)
     # The CSV reader checks headers against the schema, so a reordered file fails loudly.
     raw = spark.read.schema(schema).options(sep=sep, header=True, enforceSchema=False).csv(path)
+    for name, value in (("market", market), ("variant", variant)):
+        if value is not None:
+            raw = raw.where(F.col(name) == value)
     cleaned = raw.withColumns(
         {f.name: missing_as_null(F.col(f"`{f.name}`")) for f in schema.fields if f.name not in keys}
     )

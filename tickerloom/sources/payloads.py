@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickerloom import schemas
 from tickerloom.operators.ranking import last_per_key
-from tickerloom.functions.numbers import number
+from tickerloom.functions.numbers import number, whole_volume
 
 
 def flatten_directory(documents: DataFrame, exchange: str | Column, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -54,9 +54,8 @@ def flatten_quotes(documents: DataFrame, position: list[str]) -> DataFrame:
             number(F.col(f"regularMarket{f}")).alias(f"regularMarket{f}")
             for f in ("Price", "Open", "DayHigh", "DayLow", "Volume", "PreviousClose")
         ),
-        "regularMarketTime",
-        "postMarketTime",
-        "preMarketTime",
+        # epochs come as whole numbers, as 1704067200.0 and as text
+        *(whole_volume(number(F.col(f"{f}MarketTime"))).alias(f"{f}MarketTime") for f in ("regular", "post", "pre")),
     )
 
 

@@ -18,7 +18,9 @@ def num(x: str) -> str:
 
 def day(x: str) -> str:
     iso = rf"regexp_replace(regexp_replace(trim({x}), '^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})\b', '\3-\1-\2'), '^(\d{{4}})(\d{{2}})(\d{{2}})$', '\1-\2-\3')"
-    return f"try_cast({iso} AS DATE)"
+    forms = ["%m/%d/%y", "%d/%m/%y", "%Y%m%d", "%Y/%m/%d", "%Y.%m.%d", "%m/%d/%Y", "%m-%d-%Y", "%m.%d.%Y", "%m/%d/%y", "%d/%m/%Y", "%d-%m-%Y", "%d.%m.%Y"]
+    forms += ["%d %b %Y", "%d %B %Y", "%d-%b-%Y", "%b %d, %Y", "%B %d, %Y"]
+    return f"coalesce(try_cast({iso} AS DATE), try_strptime(trim({x}), {forms})::DATE)"
 
 
 def volume(x: str) -> str:

@@ -177,8 +177,8 @@ def _(t):
 
 _QUOTE_TYPE = (
     '{"quoteResponse":{"result":[{"symbol":"VARCHAR","regularMarketPrice":"VARCHAR","regularMarketOpen":"VARCHAR","regularMarketDayHigh":"VARCHAR",'
-    '"regularMarketDayLow":"VARCHAR","regularMarketVolume":"VARCHAR","regularMarketPreviousClose":"VARCHAR","regularMarketTime":"BIGINT",'
-    '"postMarketTime":"BIGINT","preMarketTime":"BIGINT"}]}'
+    '"regularMarketDayLow":"VARCHAR","regularMarketVolume":"VARCHAR","regularMarketPreviousClose":"VARCHAR","regularMarketTime":"VARCHAR",'
+    '"postMarketTime":"VARCHAR","preMarketTime":"VARCHAR"}]}'
 )
 _QUOTE_TYPE = _QUOTE_TYPE + "," + _QUOTE_TYPE[1:].replace("quoteResponse", "quoteSummary") + "}"
 _Q = {
@@ -186,11 +186,11 @@ _Q = {
     "regularMarketDayLow": "DayLow", "regularMarketVolume": "Volume", "regularMarketPreviousClose": "PreviousClose",
 }
 _QUOTE_COLUMNS = ", ".join(f'{duck.num(f"q.{n}")} AS "{n}"' for n in _Q)
+_TIMES = ", ".join(f'{duck.volume(duck.num(f"q.{n}MarketTime"))} AS "{n}MarketTime"' for n in ("regular", "post", "pre"))
 QUOTES = f"""parsed AS (SELECT ord, from_json(payload, '{_QUOTE_TYPE}') AS d FROM quote_docs),
   listed AS (SELECT ord, CASE WHEN len(d.quoteResponse.result) > 0 THEN d.quoteResponse.result ELSE d.quoteSummary.result END AS l FROM parsed),
   each_quote AS (SELECT ord, unnest(l) AS q, unnest(range(len(l))) AS place FROM listed),
-  quotes AS (SELECT q.symbol AS symbol, {_QUOTE_COLUMNS}, q.regularMarketTime AS "regularMarketTime", q.postMarketTime AS "postMarketTime",
-    q.preMarketTime AS "preMarketTime" FROM each_quote WHERE q.symbol <> ''
+  quotes AS (SELECT q.symbol AS symbol, {_QUOTE_COLUMNS}, {_TIMES} FROM each_quote WHERE q.symbol <> ''
     QUALIFY row_number() OVER (PARTITION BY q.symbol ORDER BY ord DESC, place DESC) = 1)"""
 
 

@@ -45,6 +45,12 @@ _statement_keys = {
     "Report Date": (
         "case when o_orderkey % 23 = 0 then 'n/a' when o_orderkey % 29 = 0 then null "
         "when o_orderkey % 31 = 0 then concat('12/31/', substr(cast(o_orderdate as string), 1, 4)) "
+        "when o_orderkey % 37 = 0 then concat(substr(cast(o_orderdate as string), 1, 4), '/12/31') "
+        "when o_orderkey % 41 = 0 then concat('31 Dec ', substr(cast(o_orderdate as string), 1, 4)) "
+        "when o_orderkey % 43 = 0 then concat('Dec 31, ', substr(cast(o_orderdate as string), 1, 4)) "
+        "when o_orderkey % 47 = 0 then concat('12-31-', substr(cast(o_orderdate as string), 1, 4)) "
+        "when o_orderkey % 53 = 0 then concat('31/12/', substr(cast(o_orderdate as string), 1, 4)) "
+        "when o_orderkey % 59 = 0 then concat('12/31/', substr(cast(o_orderdate as string), 3, 2)) "
         "else concat(substr(cast(o_orderdate as string), 1, 4), '-12-31') end"
     ),
     "Currency": "case when o_orderkey % 13 = 0 then null when o_orderkey % 3 = 0 then 'EUR' else 'USD' end",
@@ -201,7 +207,10 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
                 f"case when event_id % 3 = 0 then ',\"regularMarketDayLow\":null' else concat(',\"regularMarketDayLow\":', {VALUE}) end, "
                 f"',\"regularMarketVolume\":', {text('event_id * 3')}, ',\"regularMarketPreviousClose\":', "
                 "case when event_id % 12 = 5 then '0' when event_id % 12 = 6 then 'null' else cast(user_id + 1 as string) end, "
-                "case when event_id % 15 = 0 then '' when event_id % 6 = 0 "
+                "case when event_id % 15 = 0 then '' when event_id % 16 = 7 "
+                "then concat(',\"regularMarketTime\":\"', cast(1704067200 + event_id * 3600 as string), '\"') "
+                "when event_id % 16 = 9 then concat(',\"regularMarketTime\":', cast(1704067200 + event_id * 3600 as string), '.0') "
+                "when event_id % 6 = 0 "
                 "then concat(',\"regularMarketTime\":0,\"postMarketTime\":', cast(1704067200 + event_id * 3600 as string)) "
                 "else concat(',\"regularMarketTime\":', cast(1704067200 + event_id * 3600 as string)) end, "
                 "'},{\"symbol\":\"\"},{\"regularMarketPrice\":1}', "

@@ -16,7 +16,7 @@ RANKED = [
 ]
 # One-row reports, top-k reports and capped lists; everything else must stay distributed.
 SINGLE_TASK = {
-    "coverage_status", "dedup_stats", "exchange_totals", "not_found_count", "us_prices_by_time", "us_prices_rejects", "row_status", "run_log", "run_log_by_time", "run_log_early_exit", "symbol_directory_totals",
+    "coverage_status", "coverage_status_written", "dedup_stats", "exchange_totals", "not_found_count", "us_prices_by_time", "us_prices_rejects", "row_status", "run_log", "run_log_by_time", "run_log_early_exit", "symbol_directory_totals",
     "top_multi_class_parents", "top_suffixes", "cap_by_symbol", "cap_by_position",
 }
 
@@ -88,3 +88,8 @@ def test_bulk_scan_reads_one_partition(spark, sf_dir):
     text = frame._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[.*market.*variant", text)
     assert {"landed_file", "landed_row", "market", "variant"} <= set(frame.columns)
+
+
+@pytest.mark.parametrize("name,scans", [("us_financials", 3), ("coverage_status", 3)])
+def test_each_statement_is_scanned_once(plan, name, scans):
+    assert len(re.findall("Scan parquet|FileScan parquet", plan(name))) == scans

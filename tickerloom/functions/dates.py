@@ -6,14 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Date forms besides ISO, month first where both readings are possible.
-DAY_FORMATS = [
-    "yyyyMMdd", "yyyy/M/d", "yyyy.M.d",
-    "M/d/yyyy", "M-d-yyyy", "M.d.yyyy",
-    "d/M/yyyy", "d-M-yyyy", "d.M.yyyy",
-    "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
-]
-SHORT_YEAR_FORMATS = ["M/d/yy", "d/M/yy"]
+# Numeric date forms as (pattern, its ISO spelling), month first where both readings are
+# possible; years from 69 are of the last century, as in POSIX. Then the forms with a month's name.
+NUMERIC_DAYS = [
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})$", "$1-$2-$3"),
+    (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "19$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "20$3-$1-$2"),
+]
+NAMED_DAY = r"^(\d{1,2}[ -][A-Za-z]{3,9}[ -]\d{4}|[A-Za-z]{3,9} \d{1,2},? \d{4})$"
+MONTHS = "january february march april may june july august september october november december".split()
+TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?$"
 
 
 def strict_day(text: Column) -> Column:
@@ -23,13 +27,26 @@ def strict_day(text: Column) -> Column:
 
 def lenient_day(text: Column) -> Column:
     """A day from an ISO text or one of the forms above, with or without a time behind it; else null."""
-    bare = F.regexp_replace(F.trim(text), r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?$", "")
-    others = [F.try_to_timestamp(bare, F.lit(f)).cast("date") for f in DAY_FORMATS]
-    for form in SHORT_YEAR_FORMATS:  # 69 to 99 are of the last century, as in POSIX
-        day = F.try_to_timestamp(bare, F.lit(form)).cast("date")
-        others.append(F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day))
-    # Nearly all texts are ISO days already and never reach the other forms, nor do texts without a digit.
-    return F.coalesce(text.try_cast("date"), F.when(bare.rlike("[0-9]"), F.coalesce(*others)))
+    bare = F.regexp_replace(F.trim(text), TIME_OF_DAY, "")
+    # Nearly all texts are ISO days and never reach the other forms, which the transform keeps out of
+    # the generated code: they would be repeated there wherever the day is used.
+    return F.coalesce(text.try_cast("date"), F.transform(F.array(bare), _other_day)[0])
+
+
+def _other_day(bare: Column) -> Column:
+    iso = bare
+    for pattern, spelling in NUMERIC_DAYS:
+        iso = F.regexp_replace(iso, pattern, spelling)
+    day_first = F.regexp_replace(iso, r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$3-$2")
+    name = F.lower(F.regexp_extract(bare, "([A-Za-z]+)", 1))
+    month = F.coalesce(*(F.when((name == m) | (name == m[:3]), f"{i:02d}") for i, m in enumerate(MONTHS, 1)))
+    number = F.regexp_extract(bare, r"(?:^|\D)(\d{1,2})(?:\D)", 1)
+    named = F.concat_ws("-", F.regexp_extract(bare, r"(\d{4})$", 1), month, number)
+    return F.coalesce(
+        iso.try_cast("date"),
+        F.when(bare.rlike(r"^\d{1,2}[/.-]"), day_first.try_cast("date")),
+        F.when(bare.rlike(NAMED_DAY) & month.isNotNull(), named.try_cast("date")),
+    )
 
 
 def unread_days(frame, text: str):

@@ -39,7 +39,11 @@ def _status_row(counts: DataFrame, item: str, done: str, context: dict | None =
 def coverage_status(candidates: DataFrame, loaded: DataFrame, context: dict | None = None) -> DataFrame:
     """Tickers seen, loaded and missed, as one status row, in one grouping instead of a join."""
     seen = candidates.select("ticker", F.lit(0).alias("loaded"))
-    marked = seen.union(loaded.select("ticker", F.lit(1)))
+    return marked_status(seen.union(loaded.select("ticker", F.lit(1))), context)
+
+
+def marked_status(marked: DataFrame, context: dict | None = None) -> DataFrame:
+    """:func:`coverage_status` from (ticker, loaded) rows, loaded being 1 or 0."""
     per_ticker = marked.groupBy("ticker").agg(F.max("loaded").alias("loaded"))
     counts = per_ticker.agg(F.count("*").alias("total"), F.count_if(F.col("loaded") == 1).alias("done"))
     return _status_row(counts.withColumn("errors", F.col("total") - F.col("done")), "tickers", "inserted", context)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions.dates import lenient_day
@@ -39,6 +39,24 @@ TAG_MAPS = {
 }
 
 
+def _tag_values(wide: DataFrame, stmt_type: str) -> list[Column]:
+    """Each logical tag from its first vendor column that parses, null where the file has none."""
+    values = []
+    for tag, candidates in TAG_MAPS[stmt_type].items():
+        present = [F.col(f"`{c}`") for c in candidates if c in wide.columns]
+        values.append((first_parsed(*present) if present else F.lit(None).cast("double")).alias(tag))
+    return values
+
+
+def ticker_marks(wide: DataFrame, stmt_type: str) -> DataFrame:
+    """(ticker, loaded): every ticker of the rows, and 1 where :func:`unpivot_tags` would give a row for it."""
+    if "Ticker" not in wide.columns:
+        return wide.sparkSession.createDataFrame([], "ticker string, loaded int")
+    gives = is_filled(F.col("Ticker")) & lenient_day(optional(wide, "Report Date")).isNotNull()
+    loaded = F.coalesce(gives & F.coalesce(*_tag_values(wide, stmt_type)).isNotNull(), F.lit(False))
+    return wide.where("Ticker is not null").select(F.upper("Ticker").alias("ticker"), loaded.cast("int").alias("loaded"))
+
+
 def unpivot_tags(wide: DataFrame, stmt_type: str, exchange: str = "US", source: str = "SimFin") -> DataFrame:
     """One row per statement and logical tag that has a value.
 
@@ -48,20 +66,16 @@ def unpivot_tags(wide: DataFrame, stmt_type: str, exchange: str = "US", source:
     if "Ticker" not in wide.columns:
         return wide.sparkSession.createDataFrame([], "ticker string, exchange string, fy_end_date date, "
                                                  "stmt_type string, tag string, value double, unit string, source string")
-    values = []
-    for tag, candidates in TAG_MAPS[stmt_type].items():
-        present = [F.col(f"`{c}`") for c in candidates if c in wide.columns]
-        values.append((first_parsed(*present) if present else F.lit(None).cast("double")).alias(tag))
     keyed = wide.where(is_filled(F.col("Ticker"))).select(
         F.upper("Ticker").alias("ticker"),
         lenient_day(optional(wide, "Report Date")).alias("fy_end_date"),
         optional(wide, "Currency", "USD").alias("unit"),
-        *values,
+        *_tag_values(wide, stmt_type),
     )
-    long = keyed.where("fy_end_date is not null").unpivot(
+    long = keyed.unpivot(
         ["ticker", "fy_end_date", "unit"], list(TAG_MAPS[stmt_type]), "tag", "value"
     )
-    return long.where("value is not null").select(
+    return long.where("fy_end_date is not null and value is not null").select(
         "ticker", F.lit(exchange).alias("exchange"), "fy_end_date", F.lit(stmt_type).alias("stmt_type"),
         "tag", "value", "unit", F.lit(source).alias("source"),
     )

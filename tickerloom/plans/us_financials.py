@@ -17,16 +17,39 @@ def deduplicated(parts: list[DataFrame], position: list[str]) -> DataFrame:
     return ranking.dedup_by_priority(ranking.union_by_priority(parts), KEYS, "source_priority", position)
 
 
-def us_statement(parts: list[DataFrame], stmt_type: str, position: list[str]) -> DataFrame:
-    return statements.unpivot_tags(deduplicated(parts, position), stmt_type)
+#: A statement's files in priority order, or one frame that holds them all under ``source_priority``.
+Files = list[DataFrame] | DataFrame
 
 
-def us_financials(parts: dict[str, list[DataFrame]], position: list[str]) -> DataFrame:
+def _one_per_key(files: Files, position: list[str]) -> DataFrame:
+    if isinstance(files, DataFrame):  # one scan instead of one for each file
+        return ranking.dedup_by_priority(files, KEYS, "source_priority", position)
+    return deduplicated(files, position)
+
+
+def us_statement(files: Files, stmt_type: str, position: list[str]) -> DataFrame:
+    return statements.unpivot_tags(_one_per_key(files, position), stmt_type)
+
+
+def us_financials(parts: dict[str, Files], position: list[str]) -> DataFrame:
     """``parts`` maps IS, BS and CF to their files; a missing or empty list is skipped."""
-    loaded = [us_statement(files, stmt, position) for stmt, files in parts.items() if files]
-    if not loaded:
+    return reduce(DataFrame.unionByName, (us_statement(f, stmt, position) for stmt, f in _landed(parts).items()))
+
+
+def _landed(parts: dict[str, Files]) -> dict[str, Files]:
+    landed = {stmt: files for stmt, files in parts.items() if isinstance(files, DataFrame) or files}
+    if not landed:
         raise ValueError("no statement files landed")
-    return reduce(DataFrame.unionByName, loaded)
+    return landed
+
+
+def us_financials_coverage(parts: dict[str, Files], position: list[str], context: dict | None = None) -> DataFrame:
+    """The load's status row without loading: tickers and whether they give rows, from one pass over the kept rows.
+
+    De-duplication keeps a row of every ticker, so no second scan is needed for the candidates.
+    """
+    marks = (statements.ticker_marks(_one_per_key(f, position), stmt) for stmt, f in _landed(parts).items())
+    return coverage.marked_status(reduce(DataFrame.unionByName, marks), context)
 
 
 def us_financials_status(

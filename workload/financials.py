@@ -11,9 +11,10 @@ from tickerloom.operators import coverage, merge, ranking, statements
 from tickerloom.operators.gate import semi_join_universe
 from tickerloom.plans import ca_financials as ca
 from tickerloom.plans import us_financials as us
+from tickerloom.session import written_once
 from tickerloom.sources import payloads
 from workload import duck
-from workload.registry import query
+from workload.registry import ORACLES, query
 
 c = F.col
 VIEW_OF = {"IS": "income", "BS": "balance", "CF": "cashflow"}
@@ -26,8 +27,9 @@ def _parts(wide: DataFrame) -> list[DataFrame]:
     return [wide.where(c("source_priority") == s).drop("source_priority") for s in SOURCES]
 
 
-def _all_parts(t) -> dict[str, list[DataFrame]]:
-    return {stmt: _parts(getattr(t, view)) for stmt, view in VIEW_OF.items()}
+def _tagged(t) -> dict[str, DataFrame]:
+    """Each statement's files in one frame; ``dedup_by_priority`` and ``union_by_name`` take them apart."""
+    return {stmt: getattr(t, view) for stmt, view in VIEW_OF.items()}
 
 
 def _dedup(view: str) -> str:
@@ -101,7 +103,7 @@ def _(t):
 
 @query("us_financials", _LOADED, STATEMENTS)
 def us_financials(t):
-    return us.us_financials(_all_parts(t), ["ord"])
+    return us.us_financials(_tagged(t), ["ord"])
 
 
 @query("ticker_set_union", _CANDIDATES, STATEMENTS)
@@ -130,7 +132,16 @@ def _(t):
     STATEMENTS,
 )
 def _(t):
-    return us.us_financials_status(_all_parts(t), us_financials(t))
+    return us.us_financials_coverage(_tagged(t), ["ord"])
+
+
+@query(
+    "coverage_status_written",
+    ORACLES["coverage_status"],
+)
+def _(t):
+    parts = {stmt: _parts(getattr(t, view)) for stmt, view in VIEW_OF.items()}
+    return us.us_financials_status(parts, written_once(us.us_financials(parts, ["ord"])))
 
 
 def _stats(stmt: str) -> str:

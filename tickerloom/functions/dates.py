@@ -28,9 +28,8 @@ def strict_day(text: Column) -> Column:
 def lenient_day(text: Column) -> Column:
     """A day from an ISO text or one of the forms above, with or without a time behind it; else null."""
     bare = F.regexp_replace(F.trim(text), TIME_OF_DAY, "")
-    # Nearly all texts are ISO days and never reach the other forms, which the transform keeps out of
-    # the generated code: they would be repeated there wherever the day is used.
-    return F.coalesce(text.try_cast("date"), F.transform(F.array(bare), _other_day)[0])
+    # Nearly all texts are ISO days already and never reach the other forms.
+    return F.coalesce(text.try_cast("date"), F.when(bare.rlike("[0-9]"), _other_day(bare)))
 
 
 def _other_day(bare: Column) -> Column:
@@ -39,7 +38,7 @@ def _other_day(bare: Column) -> Column:
         iso = F.regexp_replace(iso, pattern, spelling)
     day_first = F.regexp_replace(iso, r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$3-$2")
     name = F.lower(F.regexp_extract(bare, "([A-Za-z]+)", 1))
-    month = F.coalesce(*(F.when((name == m) | (name == m[:3]), f"{i:02d}") for i, m in enumerate(MONTHS, 1)))
+    month = F.try_element_at(F.create_map(*(F.lit(x) for i, m in enumerate(MONTHS, 1) for x in dict.fromkeys((m, m[:3])) for x in (x, f"{i:02d}"))), name)
     number = F.regexp_extract(bare, r"(?:^|\D)(\d{1,2})(?:\D)", 1)
     named = F.concat_ws("-", F.regexp_extract(bare, r"(\d{4})$", 1), month, number)
     return F.coalesce(

@@ -10,7 +10,7 @@ from tickerloom.operators import bars, gate
 from tickerloom.session import scratch_dir
 from tickerloom.sinks import tables
 from tickerloom.sources import files
-from tickerloom.streaming.gated import gate_batch, stream_gated_append
+from tickerloom.streaming.gated import GatedAppend, gate_batch, stream_gated_append
 
 D = datetime.date
 
@@ -113,5 +113,20 @@ def test_stream_over_several_batches_equals_one_gated_run(spark, tmp_path):
     gate_batch(frame, target, ["ord"])  # a replayed batch adds nothing
     assert read() == want
     stored = spark.read.schema(schemas.STOCK_PRICES).parquet(target)
+    with pytest.raises(tables.BrokenConstraint):
+        tables.append_rows(stored.limit(1).union(stored.limit(1)), target, "stock_prices")
+    assert read() == want
     newest = gate.latest_seen(stored, "US")
     assert {r.symbol: str(r.last_seen) for r in newest.collect()} == {"A": "2024-01-03", "B": "2024-01-05", "C": "2024-01-01"}
+
+
+def test_a_batch_reads_the_marks_not_the_target(spark, tmp_path):
+    target = str(tmp_path / "target")
+    tables.write_version(spark.createDataFrame([], schemas.STOCK_PRICES), target, "stock_prices")
+    frame = _price_file(spark, str(tmp_path / "landing"), "x", [("A", "2024-01-01", "1")])
+    append = GatedAppend(target, ["ord"])
+    append(frame)
+    plan = append.newer(frame)._jdf.queryExecution().optimizedPlan().toString()
+    read = append.newer(frame).inputFiles()
+    assert "last_seen" in plan and not any(target in path for path in read)
+    assert append.newer(frame).count() == 0

@@ -90,6 +90,7 @@ def test_bulk_scan_reads_one_partition(spark, sf_dir):
     assert {"landed_file", "landed_row", "market", "variant"} <= set(frame.columns)
 
 
-@pytest.mark.parametrize("name,scans", [("us_financials", 3), ("coverage_status", 3)])
-def test_each_statement_is_scanned_once(plan, name, scans):
-    assert len(re.findall("Scan parquet|FileScan parquet", plan(name))) == scans
+@pytest.mark.parametrize("name,scans", [("us_financials", 3), ("coverage_status", 3), ("us_prices_daily", 3)])
+def test_each_input_is_scanned_once(plan, name, scans):
+    """Three statements; or prices, stored marks and the universe."""
+    assert len(re.findall("FileScan parquet", plan(name))) == scans

@@ -90,18 +90,26 @@ def latest_only(bars: DataFrame, position: list[str]) -> DataFrame:
 def latest_with_previous(bars: DataFrame, position: list[str], timed: bool) -> DataFrame:
     """:func:`latest_bar` plus :func:`previous_close`.
 
-    Without bar times both follow the same order and share one ranking. With them each has its own
-    ranking over its own columns, and the two results, one row per symbol and already partitioned
-    by it, are joined. Ranking two tagged copies of each row in one pass reads less, but sorting
-    the doubled rows costs more than the second scan of the few columns the close needs.
+    Without bar times both follow the same order and share one ranking. With them the two orders
+    differ within a day only, so the rows of the newest days (cut before the shuffle) hold both
+    answers: they are numbered in each order where they are.
     """
-    if timed:
-        latest = latest_only(bars, position).drop("previous_close")
-        return latest.join(previous_close(bars, position), "symbol", "left")
     close = F.coalesce(F.col("Close"), F.col("`Adj. Close`"))
     newest, older = F.col("age") == 1, F.col("age") == 2
+    rows = last_two_bars(bars, position)
+    if timed:
+        per_symbol = Window.partitionBy("symbol")
+        days = F.rank().over(per_symbol.orderBy(F.col("latest_day").desc()))
+        few = bars.withColumn("days", days).where("days <= 2")
+        rows = few.withColumns(
+            {
+                "age": F.row_number().over(per_symbol.orderBy(F.col("latest_day").desc(), *_landed_last(position))),
+                "turn": F.row_number().over(per_symbol.orderBy(*_latest_order(position))),
+            }
+        )
+        newest = F.col("turn") == 1
     return (
-        last_two_bars(bars, position)
+        rows
         .groupBy("symbol")
         .agg(F.max(F.when(newest, _whole_bar())).alias("bar"), F.max(F.when(older, close)).alias("close"))
         .select("symbol", "bar.*", number(F.col("close")).alias("previous_close"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.functions.numbers import first_truthy
 from tickerloom.functions.payload import is_truthy, number_value, text_value
 
 # Quote types that mean common equity; then the type names tested in this order,
@@ -68,16 +67,18 @@ def classify_instruments(infos: DataFrame, keep: tuple[str, ...] = ("symbol",),
     )
     field = lambda name: F.try_element_at("p", F.lit(name))
     text = lambda name: text_value(field(name))
+    # a false or 0 in a text field is passed over like an empty text
+    either = lambda name, other: F.when(is_truthy(field(name)), text(name)).otherwise(text(other))
     flat = parsed.select(
         *keep,
         "info",
-        first_truthy(text("quoteType"), text("quote_type"), falsy="").alias("quote_type"),
+        either("quoteType", "quote_type").alias("quote_type"),
         text("quoteType").alias("own_quote_type"),
-        first_truthy(text("longName"), text("long_name"), falsy="").alias("long_name"),
+        either("longName", "long_name").alias("long_name"),
         text("category").alias("category"),
         text("fundFamily").alias("fund_family"),
         text("currency").alias("currency"),
-        first_truthy(text("underlyingSymbol"), text("underlying_symbol"), falsy="").alias("underlying_symbol"),
+        either("underlyingSymbol", "underlying_symbol").alias("underlying_symbol"),
         (is_truthy(field("isEtf")) | is_truthy(field("isETF"))).alias("is_etf"),
         is_truthy(field("isMutualFund")).alias("is_mutual_fund"),
         *(number_value(field(source)).alias(target) for target, source in NUMERIC_FIELDS.items()),

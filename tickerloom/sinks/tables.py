@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom import schemas
+from tickerloom.session import written_once
 
 
 class BrokenConstraint(ValueError):
@@ -43,7 +44,15 @@ def _write(frame: DataFrame, path: str, table: str, mode: str, sort_by: str | No
 
 
 def append_rows(frame: DataFrame, path: str, table: str, sort_by: str | None = None) -> None:
-    """Append to a table folder, laid out by the table's partition columns."""
+    """Append to a table folder, laid out by the table's partition columns.
+
+    Rows of a table with constraints are computed once, into the scratch folder; what is checked there
+    is what is appended, and a broken constraint stops the append. Keys are held against each other,
+    not against the stored rows: the gate and the merges see to those.
+    """
+    if table in schemas.NOT_NULL or table in schemas.UNIQUE_KEYS:
+        frame = written_once(to_table(frame, table))
+        check_constraints(frame, table)
     _write(frame, path, table, "append", sort_by)
 
 
@@ -53,15 +62,18 @@ def write_version(frame: DataFrame, path: str, table: str, sort_by: str | None =
 
 
 def check_constraints(frame: DataFrame, table: str) -> None:
-    """Raise if rows break the table's unique key or NOT NULL rules; one pass each."""
-    from tickerloom.operators.merge import duplicate_keys, missing_keys
-
-    required = schemas.NOT_NULL.get(table)
-    if required and not missing_keys(frame, required).isEmpty():
-        raise BrokenConstraint(f"{table}: null in {required}")
-    unique = schemas.UNIQUE_KEYS.get(table)
-    if unique and not duplicate_keys(frame, unique).isEmpty():
-        raise BrokenConstraint(f"{table}: repeated {unique}")
+    """Raise if rows break the table's unique key or NOT NULL rules; one pass for both."""
+    required, unique = schemas.NOT_NULL.get(table, []), schemas.UNIQUE_KEYS.get(table, [])
+    lacking = F.lit(False)
+    for name in required:
+        lacking = lacking | F.col(name).isNull()
+    per_key = frame.groupBy(*unique).agg(F.count("*").alias("copies"), F.count_if(lacking).alias("lacking"))
+    repeated = F.count_if(F.col("copies") > 1) if unique else F.lit(0)
+    found = per_key.agg(repeated.alias("repeated"), F.sum("lacking").alias("lacking")).first()
+    if found["lacking"]:
+        raise BrokenConstraint(f"{table}: null in {required}, {found['lacking']} rows")
+    if found["repeated"]:
+        raise BrokenConstraint(f"{table}: repeated {unique}, {found['repeated']} keys")
 
 
 def append_jdbc(frame: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 5000) -> None:

@@ -72,6 +72,15 @@ def read_bulk_csv(
     return with_position(cleaned) if position else cleaned
 
 
+def read_bulk_csv_stream(
+    spark: SparkSession, path: str, schema: StructType, files_per_batch: int, keys: tuple[str, ...] = ("Ticker",), sep: str = ";"
+) -> DataFrame:
+    """Bulk files as they land, in the form :func:`read_bulk_csv` gives them; a position is a column of the files."""
+    raw = spark.readStream.schema(schema).options(sep=sep, header=True, enforceSchema=False, maxFilesPerTrigger=files_per_batch).csv(path)
+    texts = [f.name for f in schema.fields if f.dataType == StringType() and f.name not in keys]
+    return raw.withColumns({name: missing_as_null(F.col(f"`{name}`")) for name in texts})
+
+
 def read_symbol_csv(
     spark: SparkSession, path, schema: StructType | None = None, position: bool = True
 ) -> DataFrame:

@@ -1,26 +1,57 @@
 """Landed price files -> gated append per micro-batch.
 
-The target table is the only state: a batch reduces to one bar per symbol, and only bars past the
-stored mark are appended. Late bars fall to the gate, and so does a replayed batch, which makes
-the at-least-once delivery of ``foreachBatch`` harmless.
+A batch reduces to one bar per symbol, and only bars past the symbol's mark are appended. The marks
+(symbol, last_seen) are a compact table of their own: each batch joins it and writes its next version,
+so that no batch reads the target. The first batch after a start rebuilds the marks from the target.
+That is also the one that may be a replay, and then finds its own bars stored: late bars and replayed
+batches both fall to the gate, which makes the at-least-once delivery of ``foreachBatch`` harmless.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tickerloom import schemas
 from tickerloom.operators import bars, gate
+from tickerloom.session import written_once
 from tickerloom.sinks.tables import append_rows
+from tickerloom.sources.files import read_bulk_csv_stream
+
+
+class GatedAppend:
+    """Appends micro-batches of one exchange to a target; holds the current version of the marks."""
+
+    def __init__(self, target_path: str, position: list[str], exchange: str = "US"):
+        self.target_path, self.position, self.exchange = target_path, position, exchange
+        self.marks: DataFrame | None = None
+
+    def seen(self, spark: SparkSession) -> DataFrame:
+        """The marks, from the target if no batch has left any."""
+        if self.marks is None:
+            stored = spark.read.schema(schemas.STOCK_PRICES).parquet(self.target_path)
+            self.marks = written_once(gate.latest_seen(stored, self.exchange))
+        return self.marks
+
+    def newer(self, batch: DataFrame) -> DataFrame:
+        """The bars of a batch that are past their marks."""
+        latest = bars.latest_only(bars.bulk_bars(batch), self.position)
+        found = bars.require_price(bars.bulk_to_bars(latest, self.exchange))
+        return gate.newer_than_seen(found, self.seen(batch.sparkSession))
+
+    def __call__(self, batch: DataFrame, batch_id: int = 0) -> None:
+        accepted = written_once(self.newer(batch))
+        append_rows(accepted, self.target_path, "stock_prices", sort_by="symbol")
+        moved = accepted.select("symbol", F.col("latest_day").alias("last_seen"))
+        every = self.seen(batch.sparkSession).unionByName(moved)
+        self.marks = written_once(every.groupBy("symbol").agg(F.max("last_seen").alias("last_seen")))
 
 
 def gate_batch(batch: DataFrame, target_path: str, position: list[str], exchange: str = "US") -> None:
-    """Append the bars of one micro-batch that are newer than the target's."""
-    stored = batch.sparkSession.read.schema(schemas.STOCK_PRICES).parquet(target_path)
-    found = bars.require_price(bars.bulk_to_bars(bars.latest_only(bars.bulk_bars(batch), position), exchange))
-    append_rows(gate.gated_append(found, stored, exchange), target_path, "stock_prices", sort_by="symbol")
+    """Append the bars of a single batch that are newer than the target's."""
+    GatedAppend(target_path, position, exchange)(batch)
 
 
 def stream_gated_append(
@@ -32,14 +63,18 @@ def stream_gated_append(
     position: list[str],
     exchange: str = "US",
     files_per_batch: int = 100,
+    csv: bool = False,
 ) -> StreamingQuery:
-    """Start the query over parquet landing files; it stops when all landed files are processed.
+    """Start the query over landed parquet, or bulk CSV, files; it stops when all of them are processed.
 
     The target folder must exist. One writer per exchange is assumed.
     """
-    landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+    if csv:
+        landed = read_bulk_csv_stream(spark, landing, schema, files_per_batch)
+    else:
+        landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     return (
-        landed.writeStream.foreachBatch(lambda batch, _: gate_batch(batch, target_path, position, exchange))
+        landed.writeStream.foreachBatch(GatedAppend(target_path, position, exchange))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -249,21 +249,33 @@ def _(t):
 # --- stream ---------------------------------------------------------------------------------
 
 
+def _batch(n: int, seen: str) -> str:
+    """Accepted bars of the n-th landed file, held against the marks ``seen``; then the next marks."""
+    bars_n = BARS.replace("bars AS (", f"bars{n} AS (", 1).replace("FROM prices_bulk", f"FROM prices_bulk WHERE ord % 3 = {n}")
+    latest_n = LATEST.replace("latest AS (", f"latest{n} AS (", 1).replace("FROM bars ", f"FROM bars{n} ")
+    return f"""{bars_n}, {latest_n},
+      accepted{n} AS (SELECT * FROM (SELECT symbol, 'US' AS exchange, {TYPED}, CAST(NULL AS DOUBLE) AS previous_close FROM latest{n}) LEFT JOIN {seen} USING (symbol)
+        WHERE price IS NOT NULL AND (last_seen IS NULL OR latest_day > last_seen)),
+      seen{n} AS (SELECT symbol, max(last_seen) AS last_seen FROM (SELECT symbol, last_seen FROM {seen} UNION ALL SELECT symbol, latest_day FROM accepted{n}) GROUP BY symbol)"""
+
+
 @query(
     "stream_gated_append",
-    f"""WITH {BARS}, {LATEST}, typed AS (SELECT symbol, 'US' AS exchange, {TYPED}, CAST(NULL AS DOUBLE) AS previous_close FROM latest)
-        SELECT {OUT} FROM typed WHERE price IS NOT NULL""",
-    "prices_bulk",
+    f"""WITH {SEEN}, {_batch(0, 'seen')}, {_batch(1, 'seen0')}, {_batch(2, 'seen1')},
+        added AS (SELECT * FROM accepted0 UNION ALL SELECT * FROM accepted1 UNION ALL SELECT * FROM accepted2)
+        SELECT {OUT} FROM added
+        UNION ALL SELECT symbol, exchange, NULL, NULL, NULL, price, NULL, latest_day, NULL, NULL, NULL FROM stored_us""",
+    "prices_bulk stored_us",
 )
 def _(t):
+    """Three bulk files land one after another; the target starts with rows that gate the first."""
     root = scratch_dir(t.spark)
     landing, target = f"{root}/landing", f"{root}/stock_prices"
-    # One landed file, so that one micro-batch sees every bar and the result has a batch twin.
     rows = t.prices_bulk
-    rows.write.parquet(landing)
-    empty = t.spark.createDataFrame([], schemas.STOCK_PRICES)
-    tables.write_version(empty, target, "stock_prices")
-    stream_gated_append(
-        t.spark, landing, rows.schema, target, f"{root}/checkpoint", POSITION, files_per_batch=1_000_000
-    ).awaitTermination()
+    for n in range(3):
+        part = rows.where(c("ord") % 3 == n).coalesce(1)
+        part.write.mode("append").option("sep", ";").option("header", True).csv(landing)
+    tables.write_version(t.stored_us, target, "stock_prices")
+    stream = stream_gated_append(t.spark, landing, rows.schema, target, f"{root}/checkpoint", POSITION, files_per_batch=1, csv=True)
+    stream.awaitTermination()
     return t.spark.read.schema(schemas.STOCK_PRICES).parquet(target).drop("inserted_at")

@@ -43,7 +43,9 @@ from tickerloom.llm.common import materialise
 #: Bytes of a text that are hashed at a time.
 SEGMENT = 1 << 20
 #: Bytes of text in one index, about; different pieces of an anchor that are gathered at most.
-GROUP, BUSY = 1 << 18, 1024
+GROUP, BUSY = 1 << 17, 512
+#: Rows a Python task hands on at a time.
+ROWS = 4096
 #: Windows of a slice, from one step to the next.
 SLICES = (16, 4, 1)
 
@@ -177,16 +179,14 @@ def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist(), strict=True))
 
 
-def keep_rest(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
-    """Bytes removed, maximal runs of them, and what is left of ``data`` without ``spans``."""
-    removed, runs, kept, at = 0, 0, [], 0
-    for start, end in sorted(spans):
-        if start > at or not runs:
-            kept.append(data[at:start])
-            runs, removed, at = runs + 1, removed + end - start, end
-        elif end > at:
-            removed, at = removed + end - at, end
-    return removed, runs, b"".join((*kept, data[at:]))
+def keep_rest(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
+    """Bytes removed, maximal runs of them, and what is left of ``data`` without the spans."""
+    order = np.argsort(starts, kind="stable")
+    starts, reached = starts[order], np.maximum.accumulate(ends[order])
+    first = np.concatenate(([True], starts[1:] > reached[:-1]))  # spans that touch are one run
+    starts, ends = starts[first].tolist(), reached[np.concatenate((first[1:], [True]))].tolist()
+    kept = [data[a:b] for a, b in zip([0, *ends], [*starts, len(data)], strict=True)]
+    return sum(ends) - sum(starts), len(starts), b"".join(kept)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -243,16 +243,20 @@ def _open_matches(length: int):
 
 
 def _cut(length: int):
-    """Texts with their pieces to the pieces' bytes."""
+    """Texts with their pieces (arrays of start, more, anchor, open, busy) to the pieces' bytes, some thousand rows at a time."""
+    columns = ["k1", "k2", "start", "more", "anchor", "open", "busy", "data"]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for k1, k2, text, wanted in zip(batch["k1"], batch["k2"], batch["text"], batch["wanted"], strict=True):
+            for k1, k2, text, *wanted in zip(*(batch[x] for x in ("k1", "k2", "text", "start", "more", "anchor", "open", "busy")), strict=True):
                 data = text.encode()
-                for w in wanted:
-                    out.append((k1, k2, w["start"], w["more"], w["anchor"], w["open"], w["busy"], data[w["start"] : w["start"] + w["more"] + length]))
-            yield pd.DataFrame(out, columns=["k1", "k2", "start", "more", "anchor", "open", "busy", "data"])
+                for start, more, anchor, is_open, busy in zip(*(w.tolist() for w in wanted), strict=True):
+                    out.append((k1, k2, start, more, anchor, is_open, busy, data[start : start + more + length]))
+                    if len(out) >= ROWS:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+            yield pd.DataFrame(out, columns=columns)
 
     return work
 
@@ -339,7 +343,8 @@ def repeated_spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     # texts that may lose bytes, each once; only they are looked at again
     named = materialise(settled.select(*KEY).unionByName(wanted.select(*KEY)).distinct())
     texts = materialise(keyed.groupBy(*KEY).agg(F.first("text").alias("text")).join(named, KEY))
-    cut = texts.join(wanted, KEY).mapInPandas(
+    parts = ("start", "more", "anchor", "open", "busy")
+    cut = texts.join(wanted, KEY).select(*KEY, "text", *(c(f"wanted.{x}").alias(x) for x in parts)).mapInPandas(
         _cut(length), "k1 long, k2 long, start long, more int, anchor long, open boolean, busy boolean, data binary"
     )
     cut = materialise(cut)
@@ -357,12 +362,13 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for k1, k2, text, found in zip(batch["k1"], batch["k2"], batch["text"], batch["spans"], strict=True):
-                removed, runs, kept = keep_rest(text.encode(), [(s["start"], s["end"]) for s in found])
+            for k1, k2, text, starts, ends in zip(*(batch[x] for x in ("k1", "k2", "text", "start", "end")), strict=True):
+                removed, runs, kept = keep_rest(text.encode(), starts, ends)
                 out.append((k1, k2, removed, runs, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["k1", "k2", "n_removed", "n_spans", "kept"])
 
-    changed = texts.join(lists, KEY).mapInPandas(work, "k1 long, k2 long, n_removed long, n_spans long, kept string")
+    found = texts.join(lists, KEY).select(*KEY, "text", c("spans.start").alias("start"), c("spans.end").alias("end"))
+    changed = found.mapInPandas(work, "k1 long, k2 long, n_removed long, n_spans long, kept string")
     keyed = _keyed(docs).select("doc_id", *KEY, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
     zero = F.lit(0).cast("long")
     return keyed.join(materialise(changed), KEY, "left").select(

@@ -86,7 +86,8 @@ def prefix_ranges(forest: dict, strings: np.ndarray, length: int) -> tuple[np.nd
 def search(forest: dict, q: np.ndarray, k: int, share: float) -> list[list[tuple[float, int]]]:
     """Per query the k best (score, id) among its candidates."""
     x, ids = forest["x"], forest["ids"]
-    enough = min(share, TREES) * len(x)
+    # a vector counts once a tree, so this many hold k different ones at least
+    enough = min(max(share * len(x), TREES * k), TREES * len(x))
     unit = q / np.sqrt((q * q).sum(axis=1))[:, None]
     strings = hash_strings(np.concatenate((unit, np.zeros((len(q), 1))), axis=1))
     first, last = np.zeros((len(q), TREES), np.int64), np.zeros((len(q), TREES), np.int64)

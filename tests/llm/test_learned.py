@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -161,6 +162,38 @@ def test_links_lose_nothing(spark, monkeypatch, bucket):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_a_later_batch_keeps_the_links_of_an_earlier_one():
+    e, t, s, e0, r1, a, x, y, b = range(9)
+    same, table, labels = np.zeros(9, np.uint64), np.zeros((9, 1), np.int16), np.arange(9)
+    for batch in ([(a, r1), (a, x), (s, y), (e0, b)], [(r1, y), (x, b), (y, t), (b, e)]):
+        left, right = np.array(batch).T
+        labels = simhash._forest(same, table, left, right, labels, 3)
+    assert labels.tolist() == [0] * 9
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_small_batches_lose_nothing(monkeypatch, dealt):
+    """A bucket of chains of near fingerprints, in itself or as a pair of chunks, four rows at a time."""
+    monkeypatch.setattr(simhash, "BATCH", 4)
+    chosen = random.Random(5)
+    for _ in range(40):
+        fps = list({chosen.getrandbits(10) * 0x1041 % (1 << 16) for _ in range(90)})
+        sides = [chosen.randrange(2) for _ in fps]
+        tables = [bytes(((f ^ p).bit_count()) for p in (0x5A5A, 0x0F33)) for f in fps]
+        bucket = pd.DataFrame({"fps": [fps], "tables": [tables], "sides": [sides if dealt else None]})
+        links = next(simhash._compare(1)(iter([bucket])))
+        near = [(f, g) for i, f in enumerate(fps) for j, g in enumerate(fps[:i]) if (f ^ g).bit_count() <= 1 and not (dealt and sides[i] == sides[j])]
+        assert parts(fps, zip(links["a"].tolist(), links["b"].tolist(), strict=True)) == parts(fps, near)
+
+
+def parts(nodes, edges):
+    root = {n: n for n in nodes}
+    for a, b in edges:
+        old, new = root[a], root[b]
+        root = {n: new if r == old else r for n, r in root.items()}
+    return {frozenset(n for n in nodes if root[n] == r) for r in root.values()}
+
+
 def test_roots_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 999)]
     rows = {r["node"]: r["root"] for r in simhash.roots(spark.createDataFrame(edges, "a long, b long")).collect()}

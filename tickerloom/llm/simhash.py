@@ -35,6 +35,8 @@ BITS = 64
 PIVOTS = 16
 #: Fingerprints of one bucket that one task compares at most; larger buckets are dealt out by chunks.
 BUCKET = 1024
+#: Rows of a bucket or chunk whose pairs are verified at a time.
+BATCH = 256
 SEED = 42
 
 c = F.col
@@ -92,15 +94,14 @@ def _forest(fps: np.ndarray, tables: np.ndarray, left: np.ndarray, right: np.nda
     left, right = left[near], right[near]
     near = np.bitwise_count(fps[left] ^ fps[right]) <= max_bits
     left, right = left[near], right[near]
-    while len(left):
-        low = np.minimum(labels[left], labels[right])
-        before = labels.copy()
-        np.minimum.at(labels, labels[left], low)
-        np.minimum.at(labels, labels[right], low)
-        labels = labels[labels]
-        if (labels == before).all():
-            break
-    return labels
+    while True:
+        # only roots may be hooked: a place with others behind it would be cut off from its own root
+        while (labels != labels[labels]).any():
+            labels = labels[labels]
+        one, two = labels[left], labels[right]
+        if (one == two).all():
+            return labels
+        np.minimum.at(labels, np.maximum(one, two), np.minimum(one, two))
 
 
 def _compare(max_bits: int):
@@ -113,17 +114,15 @@ def _compare(max_bits: int):
         if sides is None:
             order = np.argsort(tables[:, 0], kind="stable")
             upto = np.searchsorted(tables[order, 0], tables[order, 0] + max_bits, "right")  # partners by the first coordinate
-            for at in range(0, len(fps), 256):
-                counts = np.maximum(upto[at : at + 256] - np.arange(at + 1, at + 1 + len(upto[at : at + 256])), 0)
+            for at in range(0, len(fps), BATCH):
+                counts = np.maximum(upto[at : at + BATCH] - np.arange(at + 1, at + 1 + len(upto[at : at + BATCH])), 0)
                 left = np.repeat(np.arange(at, at + len(counts)), counts)
                 right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(counts) - counts, counts)
                 labels = _forest(fps, tables, order[left], order[right], labels, max_bits)
         else:
             one, two = np.flatnonzero(np.asarray(sides) == 0), np.flatnonzero(np.asarray(sides) == 1)
-            for at in range(0, len(one), 256):
-                labels = _forest(fps, tables, np.repeat(one[at : at + 256], len(two)), np.tile(two, len(one[at : at + 256])), labels, max_bits)
-        while (labels != labels[labels]).any():
-            labels = labels[labels]
+            for at in range(0, len(one), BATCH):
+                labels = _forest(fps, tables, np.repeat(one[at : at + BATCH], len(two)), np.tile(two, len(one[at : at + BATCH])), labels, max_bits)
         linked = np.flatnonzero(labels != np.arange(len(fps)))
         return fps[linked].view(np.int64), fps[labels[linked]].view(np.int64)
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -95,6 +96,48 @@ def test_mix_is_the_same_for_any_ranges(documents, rows_per_range):
     assert sorted(mixing.mix(documents, rows_per_range=rows_per_range).collect()) == sorted(mixing.mix(documents).collect())
 
 
+def filled(docs, rest):
+    """Ids taken of [(id, size, u)], step by step."""
+    left, taken, gap = sorted(docs, key=lambda d: d[2]), [], rest
+
+    def take(doc):
+        taken.append(doc[0])
+        left.remove(doc)
+        return gap - doc[1]
+
+    while left and left[0][1] <= gap:
+        gap = take(left[0])
+    for _ in range(3):
+        if fitting := [d for d in left if d[1] <= gap]:
+            gap = take(min(fitting, key=lambda d: (gap - d[1], d[2])))
+    off = min([abs(gap - d[1]) for d in left] + [gap])
+    if any(d[1] <= min(gap, off) for d in left):
+        for doc in list(left):
+            gap = take(doc) if doc[1] <= gap else gap
+    near = [d for d in left if abs(gap - d[1]) < gap]
+    if near:
+        gap = take(min(near, key=lambda d: (abs(gap - d[1]), d[2])))
+    return set(taken), gap
+
+
+@pytest.mark.parametrize("rows_per_range", [4, 1000])
+@pytest.mark.parametrize("long", [[30000], [30000, 19000], [9000, 9000, 9000, 4000, 1200]])
+def test_mix_goes_on_past_long_documents(spark, rows_per_range, long):
+    """Source b takes three copies, 24,000 words more than it has; a has as many less to take and meets its target at long documents."""
+    chosen = random.Random(len(long))
+    sizes = [300] * 100 if long == [30000] else [chosen.randrange(200, 400) for _ in range(100)]
+    at = [(i + 0.5) / 110 for i in range(100)]
+    extra = [(100 + i, n, (60 + 3 * i) / 110) for i, n in enumerate(long)]
+    docs = [(i, n, u) for i, (n, u) in enumerate(zip(sizes, at, strict=True))] + extra
+    rows = [(i, "a", n, str(i), u) for i, n, u in docs] + [(5000, "b", 12000, "b", 0.5)]
+    got = mixing.draws(spark.createDataFrame(rows, "doc_id long, source string, size long, tie string, u double"), (1, 1), 3, rows_per_range)
+    got = {r["doc_id"]: r["times"] for r in got.collect()}
+    want, gap = filled(docs, sum(n for _, n, _ in docs) - 24000)
+    assert got.pop(5000) == 3 and {i for i, n in got.items() if n} == want
+    if long == [30000]:
+        assert want == set(range(100)) and gap == 6000
+
+
 def test_mix_odd_rows(odd_docs, no_docs):
     key = lambda r: tuple((x is None, x) for x in r)
     rows = mixing.mix(odd_docs).collect()

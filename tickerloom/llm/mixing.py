@@ -3,13 +3,16 @@
 Each source has a target number of words. With rate = target / words of the source, a document is
 taken ``floor(rate)`` times for certain. What is left of the target is drawn: a document with inclusion
 probability p = rate - floor(rate) has the rank (u / (1 - u)) / (p / (1 - p)), with u a repeatable
-draw, and the lowest ranks are taken while their words fit the rest of the target. A few more draws
-fill the gap that remains: each takes the longest document left out that fits into it (of equal ones
-that with the lowest rank), the last one the document that comes nearest, if that narrows the gap.
+draw, and the lowest ranks are taken while their words fit the rest of the target. More draws fill the
+gap that remains: each takes the longest document left out that fits into it (of equal ones that with
+the lowest rank), the last one the document that comes nearest, if that narrows the gap. Where the last
+one would leave as many words missing, or over, as some document left out that fits has, the ranks are
+gone down first, past all that don't fit, until no document left out fits.
 
 Only the words of a fixed number of documents are ever ordered in one task: ranks are cut into ranges
 of about ``rows_per_range`` documents, whole ranges are taken by their sums, and just the range in
-which the target is met is ordered.
+which the target is met is ordered. Going on past a document that doesn't fit does the same with those
+that fit into the new gap, which is shorter than that document.
 
 Defined cases: a null source is a source of its own, the last; a null or blank text has size 0 and
 takes 0 words; a null doc_id draws as an empty one, told apart by its text; repeated rows draw alike
@@ -29,7 +32,7 @@ from tickerloom.llm.common import fresh, materialise, unit_draw
 
 #: A word: a longest run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Draws that fill the gap left by the first document that doesn't fit.
+#: Draws that fill the gap left by the first document that doesn't fit, the last one by what comes nearest.
 FILLING_DRAWS = 4
 
 c = F.col
@@ -80,41 +83,78 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], max_copies: int) ->
     )
 
 
-def draws(sizes: DataFrame, weights: Sequence[int], max_copies: int, rows_per_range: int) -> DataFrame:
-    """(doc_id, source, size, tie, u) with source_size, target and ``times``, how often each row is taken."""
-    per_source = materialise(source_targets(sizes, weights, max_copies))
-    ranges = F.greatest(F.ceil(c("n") / rows_per_range), F.lit(1))
-    # one odds for a source, so its ranks rise with u and ranges of u are ranges of rank
-    ranked = sizes.join(per_source.withColumnRenamed("source", "s"), c("source").eqNullSafe(c("s"))).drop("s")
-    ranked = ranked.withColumns({"range": F.floor(c("u") * ranges), "rank": c("u") / (F.lit(1.0) - c("u")) / c("odds")})
-    sums = ranked.filter(c("odds").isNotNull()).groupBy("source", "range", "rest").agg(F.sum("size").alias("words"))
+def _lowest_ranks(ranked: DataFrame, drawn: Column) -> DataFrame:
+    """``ranked`` with ``fits``: whether the words of the drawn rows of the source up to this one fit its ``rest``."""
+    sums = ranked.filter(drawn).groupBy("source", "range", "rest").agg(F.sum("size").alias("words"))
     upto = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, 0)
     sums = sums.withColumn("upto", F.sum("words").over(upto)).filter(c("upto") > c("rest"))
     cut = sums.groupBy("source").agg(F.min_by(F.struct("range", (c("upto") - c("words")).alias("before")), "range").alias("cut"))
     cut = materialise(cut.select(c("source").alias("s"), c("cut.range").alias("cut"), c("cut.before").alias("before")))
     placed = ranked.join(cut, c("source").eqNullSafe(c("s")), "left").drop("s")
-    drawn = c("odds").isNotNull()
     inside = placed.filter(drawn & (c("range") == c("cut")))
     running = W.partitionBy("source").orderBy("rank", "doc_id", "size", "tie").rowsBetween(W.unboundedPreceding, 0)
     inside = inside.withColumn("fits", F.sum("size").over(running) + c("before") <= c("rest"))
     outside = placed.filter(~F.coalesce(drawn & (c("range") == c("cut")), F.lit(False)))
     outside = outside.withColumn("fits", drawn & (c("cut").isNull() | (c("range") < c("cut"))))
-    chosen = materialise(inside.unionByName(outside).withColumn("fits", F.coalesce("fits", F.lit(False))).withColumn("id", F.monotonically_increasing_id()))
+    return inside.unionByName(outside).withColumn("fits", F.coalesce("fits", F.lit(False))).drop("cut", "before")
+
+
+def _walk(left: DataFrame, gaps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The ids taken down the ranks from the rows ``left`` of sources that one nearest draw doesn't settle, and the gaps after them.
+
+    A round takes the ranks up to the first row that doesn't fit. That row is longer than the gap it leaves, so it and
+    all that are as long are out of the next round, and the sizes in question keep shrinking.
+    """
+    off = F.least(c("gap"), F.min(F.abs(c("gap") - c("size"))))
+    open_ = left.groupBy("s", "gap").agg(F.min("size").alias("shortest"), off.alias("off"))
+    open_ = materialise(open_.filter((c("shortest") <= c("gap")) & (c("shortest") <= c("off"))).select(c("s").alias("source")))
+    taken = materialise(left.select("id").limit(0))
+    if open_.isEmpty():
+        return taken, gaps
+    held = ["id", "source", "doc_id", "size", "tie", "rank", "range"]
+    left = materialise(left.select(*held).join(open_.withColumnRenamed("source", "s"), c("source").eqNullSafe(c("s")), "left_semi"))
+    while True:
+        rests = gaps.select("s", c("gap").alias("rest"))
+        left = materialise(left.select(*held).join(rests, c("source").eqNullSafe(c("s"))).filter(c("size") <= c("rest")).drop("s"))
+        if left.isEmpty():
+            return taken, gaps
+        left = materialise(_lowest_ranks(left, F.lit(True)))
+        fitting = left.filter("fits")
+        taken = taken.unionByName(fitting.select("id"))
+        words = fitting.groupBy("source").agg(F.sum("size").alias("words"))
+        gaps = gaps.join(words, c("source").eqNullSafe(c("s")), "left")
+        gaps = materialise(gaps.select("s", (c("gap") - F.coalesce("words", F.lit(0))).alias("gap"), "ids"))
+        left = left.filter("not fits")
+
+
+def draws(sizes: DataFrame, weights: Sequence[int], max_copies: int, rows_per_range: int) -> DataFrame:
+    """(doc_id, source, size, tie, u) with source_size, target and ``times``, how often each row is taken."""
+    per_source = materialise(source_targets(sizes, weights, max_copies))
+    ranges = F.greatest(F.ceil(c("n") / rows_per_range), F.lit(1))
+    # one odds for a source, so its ranks rise with u and ranges of u are ranges of rank
+    ranked = sizes.join(per_source.withColumnRenamed("source", "s"), c("source").eqNullSafe(c("s"))).drop("s")
+    ranked = ranked.withColumns({"range": F.floor(c("u") * ranges), "rank": c("u") / (F.lit(1.0) - c("u")) / c("odds")})
+    chosen = _lowest_ranks(ranked, c("odds").isNotNull())
+    chosen = materialise(chosen.withColumn("id", F.monotonically_increasing_id()))
     filled = chosen.groupBy("source").agg(F.first("rest").alias("rest"), F.sum(F.when(c("fits"), c("size")).otherwise(0)).alias("got"))
     gaps = filled.select(c("source").alias("s"), (c("rest") - c("got")).alias("gap"), F.array().cast("array<long>").alias("ids"))
+    walked = chosen.select("id").limit(0)
     for turn in range(FILLING_DRAWS):
         gaps = materialise(gaps)
         last = turn == FILLING_DRAWS - 1
         left = chosen.filter(c("odds").isNotNull() & ~c("fits") & (c("size") > 0)).join(gaps, c("source").eqNullSafe(c("s")))
+        left = left.filter(~F.array_contains("ids", c("id")))
         off = F.abs(c("gap") - c("size"))
-        useful = (off < c("gap")) if last else (c("size") <= c("gap"))
-        left = left.filter(useful & ~F.array_contains("ids", c("id")))
+        if last:
+            walked, gaps = _walk(left, gaps)
+            left = left.drop("gap", "s", "ids").join(walked, "id", "left_anti").join(gaps, c("source").eqNullSafe(c("s")))
+        left = left.filter((off < c("gap")) if last else (c("size") <= c("gap")))
         best = left.groupBy("source").agg(F.min(F.struct(off.alias("off"), "rank", "doc_id", "size", "tie", "id")).alias("best"))
         gaps = gaps.join(best, c("source").eqNullSafe(c("s")), "left").select(
             "s", (c("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
             F.when(c("best").isNull(), c("ids")).otherwise(F.concat("ids", F.array("best.id"))).alias("ids"),
         )
-    filling = materialise(gaps.select(F.explode("ids").alias("filling")))
+    filling = materialise(gaps.select(F.explode("ids").alias("filling")).unionByName(walked.select(c("id").alias("filling"))))
     out = chosen.join(filling, c("id") == c("filling"), "left")
     return out.withColumn("times", c("copies") + (c("fits") | c("filling").isNotNull()).cast("int"))
 

@@ -65,6 +65,28 @@ def test_mtree_is_exact(spark, monkeypatch, page, leaf):
     assert by_query(mtree.top_k(frame, 5, 50)) == {q: r for q, r in plain(rows, 5, 50, floored).items() if r}
 
 
+def test_mtree_takes_large_components(spark, monkeypatch):
+    """Components of 2,048 and more, up to products that neither doubles nor longs hold with room to spare."""
+    monkeypatch.setattr(mtree, "PAGE", 60)
+    monkeypatch.setattr(mtree, "QUERIES", 3)
+    some = [[5000.0] + [0.25] * 7, [-5000.0] * 8, [2048.0] + [0.0] * 7, [0.0, 3e9] + [0.5] * 6, [0.0] * 7 + [100000.0]]
+    rows = vectors(200, 8, 1) + [(1000 + 25 * i + j, v, 0) for i, v in enumerate(some) for j in ([0] if v[1] == 3e9 else range(3))]
+    rows += [(3000 + i, [5000.0 + i // 2, 1.0], 0) for i in range(9)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = {q: r for q, r in plain(rows, 5, 50, floored).items() if r}
+    assert by_query(mtree.top_k(frame, 5, 50)) == want and want[0][0][0] >= 1000
+    only = spark.createDataFrame(rows[-9:], SCHEMA)
+    assert by_query(mtree.top_k(only, 5, 50)) == {3000: want[3000]}
+
+
+@pytest.mark.parametrize("size", [1 << 19, 1 << 28, 1 << 40])
+def test_scores_are_exact_at_any_size(size):
+    random = np.random.default_rng(1)
+    q, x = random.integers(-size, size, (3, 8)), random.integers(-size, size, (5, 8))
+    want = [[sum(int(a) * int(b) for a, b in zip(r, s, strict=True)) for s in x] for r in q]
+    assert mtree.exact_scores(q.astype(float), x.astype(float)).tolist() == want
+
+
 def test_mtree_skips_by_its_bounds():
     """Far clusters: a query that knows its bound computes scores in its own cluster's leaves only."""
     random = np.random.default_rng(0)

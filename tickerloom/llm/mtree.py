@@ -13,12 +13,14 @@ enter the result. Every query takes its best unvisited leaf at each step; querie
 leaf are answered together. A first round searches the page a query lies in, which gives it the k-th
 best score so far; the second round takes all pages to all blocks of queries under that bound.
 
-Scores are integers: components x count as floor(scale * x), exact as long as parts are below ``LARGEST``.
-
-Defined cases: vectors that are null, empty, hold null or non-finite parts, or a part beyond
-``LARGEST`` take no part, nor do rows without an id; of rows with one id the smallest vector counts;
-vectors of different lengths aren't compared; equal vectors tie by id; no rows give no rows; extra
-columns are ignored.
+Scores are integers: components x count as floor(scale * x). The tree is exact as long as these are below
+``LARGEST``. Vectors with a larger one stay out of it: as candidates they meet all queries, as queries all
+vectors, block by block, in numbers wide enough for the products.
+
+Defined cases: vectors that are null, empty or hold null or non-finite parts take no part, nor do rows
+without an id; of rows with one id the smallest vector counts; vectors of different lengths aren't
+compared; equal vectors tie by id; a score beyond a long fails; no rows give no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -132,11 +134,52 @@ def _results(page: dict, vids: np.ndarray, q: np.ndarray, bound: np.ndarray, k:
     return pd.DataFrame(out, columns=["vid", "id", "score"]).astype("int64")
 
 
+def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """q @ x.T of whole numbers of any size, without rounding."""
+    most = float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1]
+    if most < 1 << 53:
+        return np.rint(q @ x.T).astype(np.int64)
+    if most < 1 << 62:
+        return q.astype(np.int64) @ x.astype(np.int64).T
+    whole = lambda m: np.array([[int(v) for v in row] for row in m], object)
+    return whole(q) @ whole(x).T
+
+
+def compare_all(candidates: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(vid, id, score): the best of ``candidates`` (vid, vector, dim, ids) for each of ``asked`` (vid, vector, dim), by blocks of both."""
+    left, left_blocks = V.blocks_of(candidates, c("dim").cast("long"), PAGE, 3)
+    right, right_blocks = V.blocks_of(asked, c("dim").cast("long"), QUERIES, 4)
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("vid")
+        ids = [list(map(int, i)) for i in frame["ids"]] if "ids" in frame else None
+        packed = (frame["vid"].tolist(), V.matrix(frame["vector"], np.float64), ids)
+        return pd.DataFrame({"block": [frame["block"].iloc[0]], "packed": [pickle.dumps(packed)]})
+
+    def look(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(mine) and len(theirs):
+            (_, x, ids), (vids, q, _) = (pickle.loads(f["packed"].iloc[0]) for f in (mine, theirs))
+            for at in range(0, len(q), 64):
+                for vid, scores in zip(vids[at : at + 64], exact_scores(q[at : at + 64], x), strict=True):
+                    few = np.argsort(-scores, kind="stable")[: k + 1]
+                    best = sorted((-int(scores[r]), i) for r in few for i in ids[r])[: k + 1]
+                    out += [(vid, i, -s) for s, i in best]
+        return pd.DataFrame(out, columns=["vid", "id", "score"]).astype("int64")
+
+    left = materialise(left.groupBy("block").applyInPandas(pack, "block int, packed binary"))
+    right = materialise(right.groupBy("block").applyInPandas(pack, "block int, packed binary")).withColumnRenamed("block", "asked")
+    spread = V.pairs(left, left_blocks, "block", right_blocks, "asked"), V.pairs(right, right_blocks, "asked", left_blocks, "block")
+    one, two = (f.groupBy("block", "asked") for f in spread)
+    return one.cogroup(two).applyInPandas(look, "vid long, id long, score long")
+
+
 def top_k(rows: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): exact, for the rows whose id is divisible by ``every``."""
     parts = F.transform("vector", lambda x: F.floor(x * scale))
-    usable = V.usable(rows, id_col, vector_col).filter(F.forall("vector", lambda x: F.abs(x) < LARGEST / scale))
-    ints = materialise(usable.select("id", parts.cast("array<int>").alias("vector")))
+    usable = materialise(V.usable(rows, id_col, vector_col))
+    small = F.forall("vector", lambda x: F.abs(x) < LARGEST / scale)
+    ints = materialise(usable.filter(small).select("id", parts.cast("array<int>").alias("vector")))
     once = materialise(V.held_once(ints, k))
     queries = materialise(V.query_rows(ints, once, every))
 
@@ -203,4 +246,19 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "
     spread_pages = V.pairs(pages, page_dims, "block", query_blocks, "asked")
     spread_queries = V.pairs(packed, query_blocks, "asked", page_dims, "block")
     far = spread_pages.groupBy("block", "asked").cogroup(spread_queries.groupBy("block", "asked")).applyInPandas(elsewhere, found)
-    return V.ranked(home.unionByName(far), queries, k)
+    best = home.unionByName(far)
+
+    @F.pandas_udf("array<double>")
+    def floors(vector: pd.Series) -> pd.Series:
+        return vector.map(lambda v: np.floor(np.asarray(v, np.float64) * scale) + 0.0)
+
+    large = materialise(usable.filter(~small).select("id", floors("vector").alias("vector")))
+    if large.isEmpty():
+        return V.ranked(best, queries, k)
+    large_once = materialise(V.held_once(large, k))
+    large_queries = materialise(V.query_rows(large, large_once, every))
+    large_asked = large_once.join(large_queries.select("vid").distinct(), "vid", "left_semi").select("vid", "vector", "dim")
+    doubles = c("vector").cast("array<double>")
+    best = best.unionByName(compare_all(large_once, asked.select("vid", doubles.alias("vector"), "dim"), k))
+    everything = once.withColumn("vector", doubles).unionByName(large_once)
+    return V.ranked(best.unionByName(compare_all(everything, large_asked, k)), queries.unionByName(large_queries), k)

@@ -288,11 +288,11 @@ def test_collocations(spark, monkeypatch, shard, longest):
     assert got == plain_collocations(rows, longest, top=30) and len(got) > 10
 
 
-def test_colliding_hashes_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "_pair_hashes", lambda lang, hashes, first, second: (hashes[second] % collocations.U(2)).view("int64"))
+@pytest.mark.parametrize("bits", [0, 1, 5])
+def test_colliding_names_change_nothing(spark, bits):
     rows = repeated_phrases(2)
     docs = spark.createDataFrame(rows, "lang string, text string")
-    assert sorted(tuple(r) for r in collocations.collocations(docs).collect()) == plain_collocations(rows)
+    assert sorted(tuple(r) for r in collocations.collocations(docs, bits=bits).collect()) == plain_collocations(rows)
 
 
 def test_scores_are_exact_beyond_64_bits(spark):

@@ -7,9 +7,10 @@ the words that may follow, with their counts; the new forward interval lies behi
 reverse interval is found by ranks (occurrences of the word before the interval). The other side works
 the same way with the indexes exchanged. Counts of a phrase are summed across shards.
 
-Word pairs. A phrase can be frequent only if its word pairs are. All pairs of a shard are summed across
-shards by a 64-bit hash first; a shard then extends only pairs whose hash is frequent. Hashes that
-collide let more pairs pass, never fewer, and the exact counts that follow are by the phrase itself.
+Two passes over the indexes. First every shard counts all its phrases, named by a hash of 40 bits, and
+the counts of a name are summed across shards. Then a shard spells out, and counts again, only the phrases
+whose name is frequent. Names that collide let more phrases pass, never fewer, and the counts that follow are
+by the phrase itself.
 
 Scores. A phrase's weakest cut is the lowest of floor(scale * a * a / (l * r)) over the cuts into first
 part and rest, in exact decimals. A phrase is dropped if a longer frequent phrase extends it to the left or
@@ -36,6 +37,8 @@ from tickerloom.llm.common import materialise
 
 #: Words of a shard, and rows handed on at a time.
 SHARD, ROWS = 1 << 21, 1 << 17
+#: Bits of a phrase's name; short ones make small rows.
+KEY_BITS = 40
 #: A-Z to lower case; what ends a piece to a line feed; what ends a word to a space.
 _MARKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + _MARKS + b"\t", bytes(range(97, 123)) + b"\n" * len(_MARKS) + b" ")
@@ -92,6 +95,7 @@ def transforms(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]
 
 
 Keep = Callable[[np.ndarray, np.ndarray], np.ndarray]
+Known = Callable[[np.ndarray], np.ndarray]
 
 
 def extended(side: Side, lo: np.ndarray, other: np.ndarray, size: np.ndarray, keep: Keep) -> tuple[np.ndarray, ...]:
@@ -114,38 +118,39 @@ def extended(side: Side, lo: np.ndarray, other: np.ndarray, size: np.ndarray, ke
     return of, symbol, side.begins[symbol] + side.before(symbol, lo[of]), other[of] + smaller, count
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> U(32))) * U(0xD6E8FEB86659FD93)
-    return h ^ (h >> U(29))
+class Names:
+    """Names of a shard's phrases. The sum of a phrase, a polynomial of its words' hashes, grows on either side."""
 
+    BASE = 0x9E3779B97F4A7C15
 
-def _pairs(reverse: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, second, count) of all pairs of words, read from the reverse index alone."""
-    starts = np.sort(reverse)  # the symbols its rows start with
-    keep = (starts > 0) & (reverse > 0)
-    high = int(starts[-1]) + 1
-    key, count = np.unique(starts[keep].astype(np.int64) * high + reverse[keep], return_counts=True)
-    return key // high, key % high, count
+    def __init__(self, lang: str, words: list[str], bits: int):
+        import xxhash
 
+        self.mask = U((1 << bits) - 1)
+        self.words = np.array([0, *(xxhash.xxh3_64_intdigest(w.encode()) for w in words)], np.uint64)
+        self.lang = U(xxhash.xxh3_64_intdigest(lang, 1))
 
-def _pair_hashes(lang: str, hashes: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    import xxhash
+    def right(self, total: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        return total * U(self.BASE) + self.words[symbol]
 
-    return _mixed(_mixed(hashes[first] * U(3) + U(xxhash.xxh3_64_intdigest(lang, 1))) + hashes[second]).view(np.int64)
+    def left(self, total: np.ndarray, symbol: np.ndarray, length: int) -> np.ndarray:
+        return total + self.words[symbol] * U(pow(self.BASE, length, 1 << 64))
 
-
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    import xxhash
-
-    return np.array([0, *map(xxhash.xxh3_64_intdigest, words)], np.uint64)
+    def keys(self, total: np.ndarray) -> np.ndarray:
+        h = total ^ self.lang
+        h = (h ^ (h >> U(32))) * U(0xD6E8FEB86659FD93)
+        return ((h ^ (h >> U(29))) & self.mask).view(np.int64)
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return pa.compress(values.astype(np.int32).tobytes(), codec=_ZSTD, asbytes=True)
+    """Compressed 32-bit numbers, all first bytes in front, then all second bytes and so on."""
+    planes = np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec=_ZSTD, asbytes=True)
 
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, 4 * n, codec=_ZSTD, asbytes=True), np.int32)
+    planes = np.frombuffer(pa.decompress(data, 4 * n, codec=_ZSTD, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").reshape(-1)
 
 
 _INDEX = pa.schema([
@@ -197,26 +202,56 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(at, 1).to_pylist()[0]
 
 
-def frequent_pairs(shards: DataFrame, least: int) -> DataFrame:
-    """(shard, pairs): hashes of a shard's word pairs that occur ``least`` times or more across shards."""
+class _Phrases:
+    """The phrases of an index row, from single words on: intervals, sizes and names."""
+
+    def __init__(self, row: dict, bits: int):
+        self.names = Names(row["lang"], row["words"], bits)
+        self.forward, self.reverse = (Side(_unpacked(row[x], row["n"])) for x in ("forward", "reverse"))
+        words = np.arange(1, len(self.names.words))
+        # a word's rows start at the same places in both indexes
+        self.front, self.back, self.size = self.forward.begins[words], self.reverse.begins[words], np.diff(self.reverse.begins)[words]
+        self.sums, self.length = self.names.words[words], 1
+
+    def keys(self) -> np.ndarray:
+        return self.names.keys(self.sums)
+
+    def grow(self, known: Known) -> tuple[np.ndarray, np.ndarray]:
+        """Extend to the right, phrases of ``known`` names only; (phrase before, word) of each new phrase."""
+        sums = lambda of, symbol: self.names.right(self.sums[of], symbol)
+        of, symbol, back, front, size = extended(self.reverse, self.back, self.front, self.size, lambda *x: known(self.names.keys(sums(*x))))
+        self.sums, self.back, self.front, self.size, self.length = sums(of, symbol), back, front, size, self.length + 1
+        return of, symbol
+
+    def to_the_left(self, known: Known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(phrase, word, count) of the left extensions of ``known`` names."""
+        sums = lambda of, symbol: self.names.left(self.sums[of], symbol, self.length)
+        of, symbol, *_, size = extended(self.forward, self.front, self.back, self.size, lambda *x: known(self.names.keys(sums(*x))))
+        return of, symbol, size
+
+
+def frequent_keys(shards: DataFrame, longest: int, least: int, bits: int = KEY_BITS) -> DataFrame:
+    """(shard, keys): names of a shard's phrases of 2 to ``longest`` words that occur ``least`` times or more across shards."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _index_rows(batches):
-            first, second, count = _pairs(_unpacked(row["reverse"], row["n"]))
-            keys = _pair_hashes(row["lang"], _word_hashes([w.encode() for w in row["words"]]), first, second)
-            for at in range(0, len(keys), ROWS):
-                some = slice(at, at + ROWS)
-                shard = np.full(len(keys[some]), row["shard"])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shard, keys[some], count[some])], names=["shard", "pair", "n"])
+            found = _Phrases(row, bits)
+            for _ in range(longest - 1):
+                found.grow(lambda keys: np.ones(len(keys), bool))
+                keys = found.keys()
+                order = np.argsort(keys)  # neighbours alike make small rows
+                for at in range(0, len(order), ROWS):
+                    some = order[at : at + ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(some), row["shard"]), keys[some], found.size[some])], names=["shard", "key", "n"])
 
-    pairs = shards.select("lang", "shard", "n", "words", "reverse").mapInArrow(work, "shard long, pair long, n long")
-    # a pair has at most one row for each shard
-    every = pairs.withColumn("every", F.sum("n").over(W.partitionBy("pair"))).filter(c("every") >= least)
-    return every.groupBy("shard").agg(F.collect_list("pair").alias("pairs"))
+    every = shards.select("lang", "shard", "n", "words", "forward", "reverse").mapInArrow(work, "shard long, key long, n long")
+    # a name has few rows of a shard, one but for collisions
+    often = every.withColumn("every", F.sum("n").over(W.partitionBy("key"))).filter(c("every") >= least)
+    return often.groupBy("shard").agg(F.collect_list("key").alias("keys"))
 
 
-def phrases(shards: DataFrame, pairs: DataFrame, longest: int) -> DataFrame:
-    """(lang, phrase, side, n) of each shard's phrases of 2 to ``longest`` words whose word pairs are among ``pairs``.
+def phrases(shards: DataFrame, keys: DataFrame, longest: int, bits: int = KEY_BITS) -> DataFrame:
+    """(lang, phrase, side, n) of each shard's phrases of 2 to ``longest`` words whose names are among ``keys``.
 
     Each stands there as the right extension of its first words (side 0) and, from three words on, as the
     left extension of its last words (side 1).
@@ -225,34 +260,26 @@ def phrases(shards: DataFrame, pairs: DataFrame, longest: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
 
+        def rows(lang: str, text: pa.Array, side: int, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(text), ROWS):
+                part = text.slice(at, ROWS)
+                same = [pa.array([x] * len(part), t) for x, t in ((lang, pa.string()), (side, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([same[0], part, same[1], pa.array(n[at : at + ROWS])], names=["lang", "phrase", "side", "n"])
+
         for row in _index_rows(batches):
-            forward, reverse = (Side(_unpacked(row[x], row["n"])) for x in ("forward", "reverse"))
-            words, hashes = pa.array(["", *row["words"]]), _word_hashes([w.encode() for w in row["words"]])
-            wanted = np.sort(np.array(row["pairs"], np.int64))
-
-            def known(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-                key = _pair_hashes(row["lang"], hashes, one, two)  # noqa: B023
-                return wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key  # noqa: B023
-
-            def batch(text: pa.Array, side: int, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-                for at in range(0, len(text), ROWS):
-                    part = text.slice(at, ROWS)
-                    same = [pa.array([x] * len(part), t) for x, t in ((row["lang"], pa.string()), (side, pa.int32()))]  # noqa: B023
-                    yield pa.RecordBatch.from_arrays([same[0], part, same[1], pa.array(n[at : at + ROWS])], names=["lang", "phrase", "side", "n"])
-
-            # words first: their rows start at the same places in both indexes
-            head = tail = np.arange(1, len(words))
-            text, front, back, size = words.slice(1), forward.begins[head], reverse.begins[head], np.diff(reverse.begins)[head]
-            for length in range(2, longest + 1):
-                if length > 2:
-                    of, symbol, *_, n = extended(forward, front, back, size, lambda of, symbol: known(symbol, head[of]))  # noqa: B023
-                    yield from batch(pc.binary_join_element_wise(words.take(pa.array(symbol)), text.take(pa.array(of)), " "), 1, n)
-                of, symbol, back, front, size = extended(reverse, back, front, size, lambda of, symbol: known(tail[of], symbol))  # noqa: B023
-                head, tail = head[of], symbol
+            wanted = np.sort(np.array(row["keys"], np.int64))
+            known = lambda keys: wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys  # noqa: B023, E731
+            found, words = _Phrases(row, bits), pa.array(["", *row["words"]])
+            text = words.slice(1)
+            while found.length < longest:
+                if found.length > 1:
+                    of, symbol, n = found.to_the_left(known)
+                    yield from rows(row["lang"], pc.binary_join_element_wise(words.take(pa.array(symbol)), text.take(pa.array(of)), " "), 1, n)
+                of, symbol = found.grow(known)
                 text = pc.binary_join_element_wise(text.take(pa.array(of)), words.take(pa.array(symbol)), " ")
-                yield from batch(text, 0, size)
+                yield from rows(row["lang"], text, 0, found.size)
 
-    return shards.join(pairs, "shard").mapInArrow(work, "lang string, phrase string, side int, n long")
+    return shards.join(keys, "shard").mapInArrow(work, "lang string, phrase string, side int, n long")
 
 
 def scored(candidates: DataFrame, counts: DataFrame, scale: int) -> DataFrame:
@@ -272,13 +299,15 @@ def scored(candidates: DataFrame, counts: DataFrame, scale: int) -> DataFrame:
     return exact.groupBy("lang", "phrase", "a").agg(weakest).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
 
 
-def collocations(docs: DataFrame, longest: int = 3, least: int = 10, absorbed: int = 50, top: int = 2000, scale: int = 1_000_000) -> DataFrame:
+def collocations(
+    docs: DataFrame, longest: int = 3, least: int = 10, absorbed: int = 50, top: int = 2000, scale: int = 1_000_000, bits: int = KEY_BITS
+) -> DataFrame:
     """Each language's ``top`` phrases: lang, rank, phrase, a, l, r, n, score, by score, count, phrase."""
     shards = materialise(index(docs, longest))
     each = shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     words = materialise(each.groupBy("lang", c("w.words").alias("part")).agg(F.sum("w.counts").alias("n")))
-    pairs = materialise(frequent_pairs(shards, least))
-    sums = phrases(shards, pairs, longest).groupBy("lang", "phrase", "side").agg(F.sum("n").alias("n"))
+    keys = materialise(frequent_keys(shards, longest, least, bits))
+    sums = phrases(shards, keys, longest, bits).groupBy("lang", "phrase", "side").agg(F.sum("n").alias("n"))
     frequent = materialise(sums.filter(c("n") >= least))
     candidates = frequent.filter("side = 0").select("lang", "phrase", c("n").alias("a"))
 

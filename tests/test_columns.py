@@ -160,3 +160,13 @@ def test_truthiness_of_json(one):
     assert one(rows, "j string", payload.is_truthy(field)) == want
     numbers_ = [0.0, None, 0.0, 0.0, 1.0, None, None, None, None, 1.0, 0.0, None, None]
     assert one(rows, "j string", payload.number_value(field)) == numbers_
+
+
+def test_days_with_short_years_months_and_quarters(texts):
+    D = datetime.date
+    forms = {
+        "31-Dec-20": D(2020, 12, 31), "12-31-20": D(2020, 12, 31), "12.31.20": D(2020, 12, 31), "31-12-20": D(2020, 12, 31), "1-Dec-69": D(1969, 12, 1),
+        "Dec 2020": D(2020, 12, 1), "December 2020": D(2020, 12, 1), "Dec-2020": D(2020, 12, 1), "5-May-1999": D(1999, 5, 5), "Dec 5 2020": D(2020, 12, 5),
+        "2020Q1": D(2020, 1, 1), "2020-Q3": D(2020, 7, 1), "2020q4": D(2020, 10, 1), "2020Q5": None, "Foo 2020": None, "TTM": None, "x1": None,
+    }
+    assert texts(dates.lenient_day, list(forms)) == list(forms.values())

@@ -18,6 +18,7 @@ RANKED = [
 SINGLE_TASK = {
     "coverage_status", "coverage_status_written", "dedup_stats", "exchange_totals", "not_found_count", "us_prices_by_time", "us_prices_rejects", "row_status", "run_log", "run_log_by_time", "run_log_early_exit", "symbol_directory_totals",
     "top_multi_class_parents", "top_suffixes", "cap_by_symbol", "cap_by_position",
+    "ca_prices_quotes_status", "ca_prices_panel_status", "ca_prices_fallback_landed_status", "us_financials_load",
 }
 
 

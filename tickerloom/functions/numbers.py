@@ -31,6 +31,11 @@ def number(text: Column) -> Column:
     return number_strict(F.replace(text, F.lit(","), F.lit("")))
 
 
+def payload_number(text: Column) -> Column:
+    """:func:`number` of a JSON value's text; NaN, which Spark spells with quotes, stays NaN."""
+    return F.when(text.isin("NaN", '"NaN"'), float("nan")).otherwise(number(text))
+
+
 def missing_as_null(text: Column) -> Column:
     """Null out the missing-value texts of a landed measure column."""
     return F.when(~text.isin(MISSING_TEXTS), text)

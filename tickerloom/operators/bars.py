@@ -91,27 +91,28 @@ def latest_with_previous(bars: DataFrame, position: list[str], timed: bool) -> D
     """:func:`latest_bar` plus :func:`previous_close`.
 
     Without bar times both follow the same order and share one ranking. With them the two orders
-    differ within a day only, so the rows of the newest days (cut before the shuffle) hold both
-    answers: they are numbered in each order where they are.
+    differ within a day, so every row is ranked in both, as two rows of one scan. Either ranking is cut to
+    two rows a symbol before the shuffle, however many bars a day has.
     """
-    close = F.coalesce(F.col("Close"), F.col("`Adj. Close`"))
+    close_text = F.coalesce(F.col("Close"), F.col("`Adj. Close`"))
+    bar, close = _whole_bar(), close_text
     newest, older = F.col("age") == 1, F.col("age") == 2
-    rows = last_two_bars(bars, position)
     if timed:
-        per_symbol = Window.partitionBy("symbol")
-        days = F.rank().over(per_symbol.orderBy(F.col("latest_day").desc()))
-        few = bars.withColumn("days", days).where("days <= 2")
-        rows = few.withColumns(
-            {
-                "age": F.row_number().over(per_symbol.orderBy(F.col("latest_day").desc(), *_landed_last(position))),
-                "turn": F.row_number().over(per_symbol.orderBy(*_latest_order(position))),
-            }
+        by_time, bar, close = F.col("by_time"), F.col("bar"), F.col("close")
+        both = F.array(
+            F.struct(F.lit(False).alias("by_time"), F.lit(None).cast("timestamp_ntz").alias("time"), F.lit(None).alias("bar"), close_text.alias("close")),
+            F.struct(F.lit(True).alias("by_time"), F.col("as_of").alias("time"), _whole_bar().alias("bar"), F.lit(None).alias("close")),
         )
-        newest = F.col("turn") == 1
+        rows = bars.select("symbol", "latest_day", *position, F.explode(both).alias("way")).select("symbol", "latest_day", *position, "way.*")
+        order = [F.col("latest_day").desc(), F.col("time").desc_nulls_first(), *_landed_last(position)]
+        rows = top_per_key(rows, ["symbol", "by_time"], order, k=2, rank="age")
+        newest, older = newest & by_time, older & ~by_time
+    else:
+        rows = last_two_bars(bars, position)
     return (
         rows
         .groupBy("symbol")
-        .agg(F.max(F.when(newest, _whole_bar())).alias("bar"), F.max(F.when(older, close)).alias("close"))
+        .agg(F.max(F.when(newest, bar)).alias("bar"), F.max(F.when(older, close)).alias("close"))
         .select("symbol", "bar.*", number(F.col("close")).alias("previous_close"))
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickerloom.functions.reports import error_rate, run_details, run_message, run_status
@@ -81,3 +81,29 @@ def dedup_stats(statements: DataFrame, keys: list[str]) -> DataFrame:
 
 def inserted_per_statement(loaded: DataFrame) -> DataFrame:
     return loaded.groupBy("stmt_type").agg(F.count("*").alias("inserted_rows"))
+
+
+class WriteCounts:
+    """Counts taken by the pass that computes or writes a frame, so that no second scan counts anything."""
+
+    def __init__(self):
+        self._taken: list[Observation] = []
+
+    def on(self, frame: DataFrame, **counts: Column) -> DataFrame:
+        """``frame``, counted on its way; the frame returned has to be computed once."""
+        self._taken.append(Observation())
+        return frame.observe(self._taken[-1], *(value.alias(name) for name, value in counts.items()))
+
+    def result(self) -> dict[str, int]:
+        """The counts by name, summed where several frames have one. Waits for the frames to be computed."""
+        total: dict[str, int] = {}
+        for taken in self._taken:
+            for name, value in taken.get.items():
+                total[name] = total.get(name, 0) + (value or 0)
+        return total
+
+
+def counted_status(spark, item: str, done_label: str, total: int, done: int, errors: int, context: dict | None = None) -> DataFrame:
+    """The status row of a run whose counters are known."""
+    counters = spark.range(1).select(*(F.lit(v).cast("long").alias(n) for n, v in (("total", total), ("done", done), ("errors", errors))))
+    return _status_row(counters, item, done_label, context)

@@ -6,13 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def marks_of(rows: DataFrame) -> DataFrame:
+    """Marks of price rows: exchange, symbol, last_seen and, where rows have times, seen_time."""
+    time = [F.max("as_of").alias("seen_time")] if "as_of" in rows.columns else []
+    return rows.groupBy("exchange", "symbol").agg(F.max("latest_day").alias("last_seen"), *time)
+
+
+def merged_marks(marks: DataFrame) -> DataFrame:
+    """One mark per exchange and symbol from several versions of them."""
+    return marks.groupBy("exchange", "symbol").agg(*(F.max(n).alias(n) for n in ("last_seen", "seen_time") if n in marks.columns))
+
+
+def is_marks(stored: DataFrame) -> bool:
+    """True for marks, False for stored rows: the loads take either."""
+    return "last_seen" in stored.columns
+
+
+def has_times_stored(stored: DataFrame) -> bool:
+    return "as_of" in stored.columns or "seen_time" in stored.columns
+
+
 def latest_seen(stored: DataFrame, exchange: str, column: str = "latest_day") -> DataFrame:
-    """Stored high-water mark per symbol of one exchange."""
-    return (
-        stored.where(F.col("exchange") == exchange)
-        .groupBy("symbol")
-        .agg(F.max(column).alias("last_seen"))
-    )
+    """High-water mark per symbol of one exchange, from stored rows or from marks."""
+    own = stored.where(F.col("exchange") == exchange)
+    if is_marks(stored):
+        return own.select("symbol", "last_seen")
+    return own.groupBy("symbol").agg(F.max(column).alias("last_seen"))
 
 
 def newer_than_seen(bars: DataFrame, seen: DataFrame) -> DataFrame:
@@ -51,11 +70,11 @@ def gate_by_time(
     an error. If no bar has a time the day decides. ``timed_run`` passes that in if known, which
     saves computing ``bars`` once more to look.
     """
-    marks = (
-        stored.where(F.col("exchange") == exchange)
-        .groupBy("symbol")
-        .agg(F.max("as_of").alias("seen_time"), F.max("latest_day").alias("seen_day"))
-    )
+    own = stored.where(F.col("exchange") == exchange)
+    if is_marks(stored):
+        marks = own.select("symbol", "seen_time", F.col("last_seen").alias("seen_day"))
+    else:
+        marks = own.groupBy("symbol").agg(F.max("as_of").alias("seen_time"), F.max("latest_day").alias("seen_day"))
     if timed_run is None:
         timed_run = has_times(bars).scalar()
     joined = bars.join(marks, "symbol", "left").withColumn("timed_run", timed_run)

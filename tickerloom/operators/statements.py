@@ -48,39 +48,61 @@ def _tag_values(wide: DataFrame, stmt_type: str) -> list[Column]:
     return values
 
 
-def ticker_marks(wide: DataFrame, stmt_type: str) -> DataFrame:
-    """(ticker, loaded): every ticker of the rows, and 1 where :func:`unpivot_tags` would give a row for it."""
-    if "Ticker" not in wide.columns:
-        return wide.sparkSession.createDataFrame([], "ticker string, loaded int")
-    gives = is_filled(F.col("Ticker")) & lenient_day(optional(wide, "Report Date")).isNotNull()
-    loaded = F.coalesce(gives & F.coalesce(*_tag_values(wide, stmt_type)).isNotNull(), F.lit(False))
-    return wide.where("Ticker is not null").select(F.upper("Ticker").alias("ticker"), loaded.cast("int").alias("loaded"))
+def _empty(wide: DataFrame, columns: str) -> DataFrame:
+    return wide.sparkSession.createDataFrame([], columns)
 
 
-def unpivot_tags(wide: DataFrame, stmt_type: str, exchange: str = "US", source: str = "SimFin") -> DataFrame:
-    """One row per statement and logical tag that has a value.
+def kept_tags(wide: DataFrame, stmt_type: str) -> DataFrame:
+    """Wide rows with what a load needs of them: ticker, filled (the ticker isn't blank), fy_end_date, unit and the tags.
 
-    Rows with a blank ticker or an unreadable report date are skipped. A tag takes its first
-    vendor column that parses. The currency defaults to USD only if the file has no such column.
+    The day is null where it can't be read. A tag takes its first vendor column that parses. The currency
+    defaults to USD only if the file has no such column.
     """
-    if "Ticker" not in wide.columns:
-        return wide.sparkSession.createDataFrame([], "ticker string, exchange string, fy_end_date date, "
-                                                 "stmt_type string, tag string, value double, unit string, source string")
-    keyed = wide.where(is_filled(F.col("Ticker"))).select(
+    return wide.select(
         F.upper("Ticker").alias("ticker"),
+        is_filled(F.col("Ticker")).alias("filled"),
         lenient_day(optional(wide, "Report Date")).alias("fy_end_date"),
         optional(wide, "Currency", "USD").alias("unit"),
         *_tag_values(wide, stmt_type),
     )
-    long = keyed.unpivot(
-        ["ticker", "fy_end_date", "unit"], list(TAG_MAPS[stmt_type]), "tag", "value"
-    )
+
+
+def marks_of_kept(kept: DataFrame, stmt_type: str) -> DataFrame:
+    """(ticker, loaded): every ticker of the rows, and 1 where :func:`rows_of_kept` would give a row for it."""
+    gives = F.col("filled") & F.col("fy_end_date").isNotNull()
+    loaded = F.coalesce(gives & F.coalesce(*TAG_MAPS[stmt_type]).isNotNull(), F.lit(False))
+    return kept.where("ticker is not null").select("ticker", loaded.cast("int").alias("loaded"))
+
+
+def rows_of_kept(kept: DataFrame, stmt_type: str, exchange: str = "US", source: str = "SimFin") -> DataFrame:
+    """One row per statement and logical tag that has a value; blank tickers and unread days are skipped."""
+    keyed = kept.where("filled").drop("filled")
+    long = keyed.unpivot(["ticker", "fy_end_date", "unit"], list(TAG_MAPS[stmt_type]), "tag", "value")
     return long.where("fy_end_date is not null and value is not null").select(
         "ticker", F.lit(exchange).alias("exchange"), "fy_end_date", F.lit(stmt_type).alias("stmt_type"),
         "tag", "value", "unit", F.lit(source).alias("source"),
     )
 
 
+def skipped_days(kept: DataFrame) -> Column:
+    """How many rows are skipped for their day alone, as an aggregate of :func:`kept_tags`."""
+    return F.count_if(kept["filled"] & kept["fy_end_date"].isNull())
+
+
+def ticker_marks(wide: DataFrame, stmt_type: str) -> DataFrame:
+    """:func:`marks_of_kept` of wide rows."""
+    if "Ticker" not in wide.columns:
+        return _empty(wide, "ticker string, loaded int")
+    return marks_of_kept(kept_tags(wide, stmt_type), stmt_type)
+
+
+def unpivot_tags(wide: DataFrame, stmt_type: str, exchange: str = "US", source: str = "SimFin") -> DataFrame:
+    """:func:`rows_of_kept` of wide rows."""
+    if "Ticker" not in wide.columns:
+        return _empty(wide, "ticker string, exchange string, fy_end_date date, stmt_type string, tag string, value double, unit string, source string")
+    return rows_of_kept(kept_tags(wide, stmt_type), stmt_type, exchange, source)
+
+
 def first_source_cells(cells: DataFrame) -> DataFrame:
     """Keep, per symbol and statement, the cells of its best (lowest) API that has any.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators import instruments, listings, merge
 from tickerloom.operators.ranking import last_per_key
+from tickerloom.sources import files
 from tickerloom.sources.payloads import flatten_directory
 
 
@@ -67,3 +68,8 @@ def ca_instrument_table(issuers: DataFrame, infos: DataFrame, stored: DataFrame,
 def ca_instruments_not_found(issuers: DataFrame, infos: DataFrame, cap: int | None = None) -> DataFrame:
     """Issuers looked up, and those for which nothing came back."""
     return instruments.not_found_count(_looked_up(issuers, infos, cap))
+
+
+def ca_instruments_landed(issuers: DataFrame, infos: DataFrame, cap: int | None = None) -> DataFrame:
+    """:func:`ca_instruments` from landed info payloads (:func:`files.read_payloads`), of repeated ones the last."""
+    return ca_instruments(issuers, last_per_key(files.readable(infos), ["symbol"], files.POSITION), cap)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.operators import bars, gate, listings
+from tickerloom.operators import bars, coverage, gate, listings
 from tickerloom.operators.bars import BAR_COLUMNS
+from tickerloom.sources import files, payloads
 
 
 def _append(found: DataFrame, symbol_list: DataFrame, stored: DataFrame, position: list[str]) -> DataFrame:
@@ -43,3 +44,29 @@ def ca_prices_fallback(
     return _append(
         found.withColumns({n: F.lit(None).cast(t) for n, t in blank.items()}), symbol_list, stored, position
     )
+
+
+def ca_prices_fallback_landed(
+    symbol_list: DataFrame, fast_infos: DataFrame, history: DataFrame, stored: DataFrame, position: list[str], today: Column | None = None
+) -> DataFrame:
+    """:func:`ca_prices_fallback` from landed payload lines (:func:`files.read_payloads`); broken lines are passed over."""
+    fast = payloads.flatten_fast_info(files.readable(fast_infos), files.POSITION)
+    rows = payloads.flatten_history(files.readable(history), files.POSITION)
+    return ca_prices_fallback(symbol_list, fast, rows, stored, position, [*files.POSITION, "place"], today)
+
+
+def ca_prices_status(symbol_list: DataFrame, appended: DataFrame, position: list[str], broken: DataFrame | None = None) -> DataFrame:
+    """The status row of a Canadian price run, whichever input it had.
+
+    Attempted are the listed symbols. Those with an appended bar are successes; those whose payload was
+    broken (``broken``: rejects of :func:`files.rejects`, by vendor symbol) and that have no bar are errors; the
+    others, stale or without a price, are skipped. ``appended`` should be the rows written, not a plan.
+    """
+    symbol_map = listings.vendor_symbol_map(listings.official_symbols(symbol_list, position), position)
+    marks = symbol_map.select("symbol", F.lit(0).alias("mark")).union(appended.select("symbol", F.lit(2)))
+    if broken is not None:
+        named = broken.where("symbol is not null").select(F.col("symbol").alias("vendor_symbol")).distinct()
+        marks = marks.union(listings.to_listed_symbols(named, symbol_map).select("symbol", F.lit(1)))
+    best = F.max("mark")
+    outcome = F.when(best == 2, "inserted").when(best == 1, "error").otherwise("skipped")
+    return coverage.outcome_status(marks.groupBy("symbol").agg(outcome.alias("outcome")))

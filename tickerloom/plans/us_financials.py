@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.operators import coverage, ranking, statements
+from tickerloom.operators import coverage, ranking, runlog, statements
+from tickerloom.operators.coverage import WriteCounts
+from tickerloom.session import written_once
+from tickerloom.sinks.tables import append_rows
 
 KEYS = ["Ticker", "Report Date"]
 
@@ -52,6 +55,39 @@ def us_financials_coverage(parts: dict[str, Files], position: list[str], context
     return coverage.marked_status(reduce(DataFrame.unionByName, marks), context)
 
 
+def us_financials_early_exit(spark: SparkSession, parts: dict[str, Files]) -> DataFrame | None:
+    """The status row of a load for which no statement file landed, else None."""
+    if any(isinstance(files, DataFrame) or files for files in parts.values()):
+        return None
+    return runlog.plain_status(spark, "error", "No datasets fetched via API", {"phase": "empty_fetch"})
+
+
+def us_financials_load(spark: SparkSession, parts: dict[str, Files], position: list[str], path: str, context: dict | None = None) -> DataFrame:
+    """Load the statements into the table folder ``path``; the run's status row, for the log.
+
+    The files are read once: their kept rows are written to scratch, and rows, coverage and counts come from
+    there. The details lead with ``context`` and the counts: rows skipped for a day that can't be read, and
+    rows per statement, both taken by the passes that write.
+    """
+    early = us_financials_early_exit(spark, parts)
+    if early is not None:
+        return early
+    skipped, written, marks = WriteCounts(), WriteCounts(), []
+    for stmt, files in _landed(parts).items():
+        wide = _one_per_key(files, position)
+        if "Ticker" not in wide.columns:
+            continue
+        kept = statements.kept_tags(wide, stmt)
+        kept = written_once(skipped.on(kept, skipped_days=statements.skipped_days(kept)))
+        rows = written.on(statements.rows_of_kept(kept, stmt), **{f"rows_{stmt}": F.count(F.lit(1))})
+        append_rows(rows, path, "financials", sort_by="ticker")
+        marks.append(statements.marks_of_kept(kept, stmt))
+    if not marks:
+        return runlog.plain_status(spark, "error", "No datasets fetched via API", {"phase": "empty_fetch"})
+    counts = {**(context or {}), **skipped.result(), **written.result()}
+    return coverage.marked_status(reduce(DataFrame.unionByName, marks), counts)
+
+
 def us_financials_status(
     parts: dict[str, list[DataFrame]], loaded: DataFrame, context: dict | None = None
 ) -> DataFrame:

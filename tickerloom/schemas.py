@@ -128,8 +128,13 @@ QUOTES = StructType(
         StructField("quoteSummary", StructType([StructField("result", ArrayType(_QUOTE))])),
     ]
 )
-FAST_INFO = _struct(
-    lastPrice=_D, last_price=_D, regularMarketPrice=_D, open=_D, dayHigh=_D,
-    regularMarketDayHigh=_D, dayLow=_D, regularMarketDayLow=_D, lastVolume=LongType(),
-    regularMarketVolume=LongType(), regularMarketTime=LongType(), lastMarketTime=LongType(),
+# Payload files: one response a line, led by the symbol it was asked for. Numbers stay text, as epochs and
+# prices come as numbers, as texts and as NaN.
+FAST_INFO = _text(
+    "symbol", "lastPrice", "last_price", "regularMarketPrice", "open", "dayHigh", "regularMarketDayHigh", "dayLow", "regularMarketDayLow",
+    "lastVolume", "regularMarketVolume", "regularMarketTime", "lastMarketTime",
+)
+HISTORY = StructType(
+    [StructField("symbol", StringType()), StructField("history", ArrayType(_text("date", "Open", "High", "Low", "Close", "Volume")))]
 )
+INFO = _text("symbol", "info")  # the info object as JSON text

@@ -1,52 +1,48 @@
 """Landed price files -> gated append per micro-batch.
 
-A batch reduces to one bar per symbol, and only bars past the symbol's mark are appended. The marks
-(symbol, last_seen) are a compact table of their own: each batch joins it and writes its next version,
-so that no batch reads the target. The first batch after a start rebuilds the marks from the target.
-That is also the one that may be a replay, and then finds its own bars stored: late bars and replayed
-batches both fall to the gate, which makes the at-least-once delivery of ``foreachBatch`` harmless.
+A batch reduces to one bar per symbol, and only bars past the symbol's mark are appended. The marks are
+versioned by batch id beside the stream's checkpoint (:mod:`tickerloom.sinks.gated`): a batch joins them
+and adds its own, so that no batch reads the target. A batch that a restarted stream delivers again is passed
+over if its marks are there; if it was cut off between staging its rows and marking them, the rows
+that are missing are appended, and only then the target is read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tickerloom import schemas
 from tickerloom.operators import bars, gate
-from tickerloom.session import written_once
-from tickerloom.sinks.tables import append_rows
+from tickerloom.session import scratch_dir
+from tickerloom.sinks.gated import GatedTarget
 from tickerloom.sources.files import read_bulk_csv_stream
 
 
 class GatedAppend:
-    """Appends micro-batches of one exchange to a target; holds the current version of the marks."""
+    """Appends micro-batches of one exchange to a target, with its marks in ``state_path`` (scratch, if not given)."""
 
-    def __init__(self, target_path: str, position: list[str], exchange: str = "US"):
-        self.target_path, self.position, self.exchange = target_path, position, exchange
-        self.marks: DataFrame | None = None
+    def __init__(self, target_path: str, position: list[str], exchange: str = "US", state_path: str | None = None):
+        self.target_path, self.position, self.exchange, self.state_path = target_path, position, exchange, state_path
+        self._target: GatedTarget | None = None
 
-    def seen(self, spark: SparkSession) -> DataFrame:
-        """The marks, from the target if no batch has left any."""
-        if self.marks is None:
-            stored = spark.read.schema(schemas.STOCK_PRICES).parquet(self.target_path)
-            self.marks = written_once(gate.latest_seen(stored, self.exchange))
-        return self.marks
+    def target(self, spark: SparkSession) -> GatedTarget:
+        if self._target is None:
+            self._target = GatedTarget(self.target_path, self.state_path or scratch_dir(spark))
+        return self._target
+
+    def found(self, batch: DataFrame) -> DataFrame:
+        """One bar per symbol of a batch."""
+        latest = bars.latest_only(bars.bulk_bars(batch), self.position)
+        return bars.require_price(bars.bulk_to_bars(latest, self.exchange))
 
     def newer(self, batch: DataFrame) -> DataFrame:
         """The bars of a batch that are past their marks."""
-        latest = bars.latest_only(bars.bulk_bars(batch), self.position)
-        found = bars.require_price(bars.bulk_to_bars(latest, self.exchange))
-        return gate.newer_than_seen(found, self.seen(batch.sparkSession))
+        return gate.gated_append(self.found(batch), self.target(batch.sparkSession).marks(batch.sparkSession), self.exchange)
 
-    def __call__(self, batch: DataFrame, batch_id: int = 0) -> None:
-        accepted = written_once(self.newer(batch))
-        append_rows(accepted, self.target_path, "stock_prices", sort_by="symbol")
-        moved = accepted.select("symbol", F.col("latest_day").alias("last_seen"))
-        every = self.seen(batch.sparkSession).unionByName(moved)
-        self.marks = written_once(every.groupBy("symbol").agg(F.max("last_seen").alias("last_seen")))
+    def __call__(self, batch: DataFrame, batch_id: int | None = None) -> None:
+        version = None if batch_id is None else batch_id + 1  # 0 is what the target held before
+        self.target(batch.sparkSession).append(self.found(batch), self.exchange, version)
 
 
 def gate_batch(batch: DataFrame, target_path: str, position: list[str], exchange: str = "US") -> None:
@@ -74,7 +70,7 @@ def stream_gated_append(
     else:
         landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     return (
-        landed.writeStream.foreachBatch(GatedAppend(target_path, position, exchange))
+        landed.writeStream.foreachBatch(GatedAppend(target_path, position, exchange, f"{checkpoint}/gate"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -37,6 +37,7 @@ def _dedup(view: str) -> str:
       (PARTITION BY "Ticker", "Report Date" ORDER BY source_priority, ord) = 1)"""
 
 
+# The vendor's column names.
 _TAGS = {
     "income": {
         "SharesOutstanding": ["Shares (Basic)", "Shares (Diluted)"],
@@ -194,8 +195,8 @@ def _(t):
 
 @query(
     "ca_financials",
-    f"""WITH cells AS ({_CELLS}), recent AS (SELECT * FROM cells SEMI JOIN matrix_issuers USING (symbol) WHERE period_ordinal = 0),
-        best AS ({_BEST.format('recent')}) {_ROWS.format('best')}""",
+    f"""WITH cells AS ({_CELLS}), listed AS (SELECT * FROM cells SEMI JOIN matrix_issuers USING (symbol)),
+        best AS ({_BEST.format('listed')}), recent AS (SELECT * FROM best WHERE period_ordinal = 0) {_ROWS.format('recent')}""",
     "matrix matrix_issuers",
 )
 def ca_financials(t):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom import schemas
@@ -101,20 +104,27 @@ def _(t):
 @query(
     "scan_bulk_csv",
     """SELECT "Ticker", "Date", nullif("DateTime", 'n/a') AS "DateTime", "Open", "High", "Low", "Close", "Adj. Close", "Volume",
-         'NA' AS market, 'daily' AS variant FROM prices_bulk WHERE ord % 3 = 0 AND ord % 2 = 0""",
+         CASE WHEN ord % 3 = 0 THEN 'NA' ELSE 'US' END AS market, CASE WHEN ord % 2 = 0 THEN 'daily' ELSE 'latest' END AS variant FROM prices_bulk""",
     "prices_bulk",
 )
 def _(t):
-    return bulk_scan(t).drop(*files.POSITION)
+    path = bulk_landing(t)
+    scans = [files.read_bulk_csv(t.spark, path, market=m, variant=v) for m in ("NA", "US") for v in ("daily", "latest")]
+    return reduce(DataFrame.unionByName, scans).drop(*files.POSITION)
 
 
-def bulk_scan(t):
-    """Two markets (one of a name that means missing in a measure) and two variants are landed, one of each is read."""
+def bulk_landing(t):
+    """Two markets (one of a name that means missing in a measure) and two variants are landed."""
     path = f"{scratch_dir(t.spark)}/shareprices"
     market, variant = F.when(c("ord") % 3 == 0, "NA").otherwise("US"), F.when(c("ord") % 2 == 0, "daily").otherwise("latest")
     landed = t.prices_bulk.withColumns({"market": market, "variant": variant}).drop(*POSITION)
     landed.write.option("sep", ";").option("header", True).partitionBy("market", "variant").csv(path)
-    return files.read_bulk_csv(t.spark, path, market="NA", variant="daily")
+    return path
+
+
+def bulk_scan(t):
+    """One market and variant of them."""
+    return files.read_bulk_csv(t.spark, bulk_landing(t), market="NA", variant="daily")
 
 
 @query(
@@ -197,14 +207,17 @@ def _(t):
     return _zoneless(_log_rows(status))
 
 
+_NOTHING = "NOT EXISTS (SELECT 1 FROM financials_stored WHERE exchange = 'US')"
+
+
 @query(
     "run_log_early_exit",
-    f"""SELECT 'us_prices' AS script, 'warning' AS status, 'No US tickers found in financials table' AS message, '{{}}' AS details, {_LOG}
-        WHERE NOT EXISTS (SELECT 1 FROM financials_stored WHERE exchange = 'US' AND stmt_type = 'none')""",
-    "financials_stored",
+    f"""{_FOUND} SELECT 'us_prices' AS script, {_STATUS}, {_LOG} FROM n WHERE NOT {_NOTHING}
+        UNION ALL SELECT 'us_prices', 'warning', 'No US tickers found in financials table', '{{}}', {_LOG} WHERE {_NOTHING}""",
+    US_VIEWS,
 )
 def _(t):
-    return _zoneless(_log_rows(us_plan.us_prices_early_exit(t.financials_stored.where("stmt_type = 'none'"))))
+    return _zoneless(_log_rows(us_plan.us_prices_log(t.prices_bulk, t.financials_stored, t.stored_us, POSITION)))
 
 
 _RUNS = """ordered AS (SELECT *, sum(CASE WHEN exit_code NOT IN (0, 2) THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY step_no) AS fails FROM steps),

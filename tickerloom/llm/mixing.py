@@ -184,7 +184,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_cop
     rows = rows.withColumn(turn, F.row_number().over(W.partitionBy(key).orderBy(key)))
     share = counted.select(key, F.posexplode(F.expr("transform(sequence(1, rows), i -> all_times div rows + if(i <= all_times % rows, 1, 0))")).alias(turn, times))
     share = share.withColumn(turn, c(turn) + 1)
-    rows = rows.join(share, [key, turn])
+    rows = rows.join(share.filter(c(times) > 0), [key, turn])  # a sequence from 1 to 0 would count down
     return rows.withColumn(turn, F.explode(F.expr(f"sequence(1L, `{times}`)"))).select(*(c(f"`{n}`") for n in docs.columns))
 
 

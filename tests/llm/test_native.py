@@ -59,6 +59,23 @@ def test_copied_tokens_are_examples(spark):
     assert {got[i]["spans"] for i in (3, 4, 5)} == {""}
 
 
+def test_a_sample_token_of_one_hot_source_is_an_example(spark):
+    """Many repositories of one owner make a copied example; few of them are that owner's credential."""
+    live, sample = "Zx9Kq3Lm7Pw2Rt5Vy8Bn4", "Ab1Cd2Ef3Gh4Ij5Kl6Mn7"
+    n = secret_scan.EXAMPLE_REPOSITORIES
+    rows = [(i, f"see {sample} here", "hot") for i in range(3 * n)] + [(1000 + i, f"see {live} here", "hot") for i in range(n - 1)]
+    rows += [(2000, "token: abcdef1", "hot")] + [(3000 + i, "token: sample1", "hot") for i in range(n)]
+    rows += [(1000, f"see {live} here", "hot")] * 5  # a repeated row is no further repository
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = scan(docs)
+    assert all(got[i]["spans"] == "" and got[i]["n_owner_specific"] == got[i]["most_repositories"] == 0 for i in range(3 * n))
+    assert all(got[1000 + i]["spans"] == "owned:4:25" and got[1000 + i]["most_repositories"] == n - 1 for i in range(n - 1))
+    assert (got[2000]["n_copied_examples"], got[2000]["most_repositories"]) == (0, 1)
+    assert (got[3000]["spans"], got[3000]["n_copied_examples"], got[3000]["most_repositories"]) == ("assign:0:14", 1, n)
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.mask(docs, F.col("doc_id"), F.col("source")).collect()}
+    assert masked[0] == f"see {sample} here" and masked[1000] == "see [SECRET] here" and masked[3000] == "[SECRET]"
+
+
 def test_scan_odd_rows(odd_docs, no_docs):
     rows = secret_scan.scan(odd_docs, F.col("doc_id"), F.col("source")).collect()
     assert len(rows) == odd_docs.count()

@@ -1,12 +1,13 @@
 """Both vector searches against brute force."""
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
-from tickerloom.llm import hash_forest, mtree
+from tickerloom.llm import hash_forest, mtree, queries
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -27,16 +28,14 @@ ODD = [
 
 
 def plain(rows, k, every, score, zero=True):
-    kept = {}
-    for i, v, _ in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v) or not (zero or any(v)):
-            continue
-        kept[i] = min(kept.get(i, v), v)
+    """Per query id the (vec_id, score) of all its rows, by rank; a row leaves out itself only."""
+    kept = [(i, v) for i, v, _ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and (zero or any(v))]
     out = defaultdict(list)
-    for q in (i for i in kept if i % every == 0):
-        scored = sorted((-score(kept[q], v), i) for i, v in kept.items() if i != q and len(v) == len(kept[q]))
-        out[q] = [(i, -s) for s, i in scored[:k]]
-    return out
+    for n, (q, mine) in enumerate(kept):
+        if q % every == 0:
+            scored = sorted((-score(mine, v), i) for m, (i, v) in enumerate(kept) if m != n and len(v) == len(mine))
+            out[q] += [(rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
+    return {q: [(i, s) for _, i, s in sorted(found)] for q, found in out.items()}
 
 
 def floored(a, b):
@@ -49,10 +48,32 @@ def dot(a, b):
 
 def by_query(frame):
     out = defaultdict(list)
-    for r in sorted(frame.collect(), key=lambda r: (r["query_id"], r["rank"])):
-        out[r["query_id"]].append((r["vec_id"], r["score"]))
-        assert r["rank"] == len(out[r["query_id"]])
-    return out
+    for r in frame.collect():
+        out[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    for found in out.values():
+        ranks = Counter(rank for rank, *_ in found)
+        assert sorted(ranks) == list(range(1, max(ranks) + 1))
+    return {q: [(i, s) for _, i, s in sorted(found)] for q, found in out.items()}
+
+
+REPEATED = [(100, [1.0, 0.0], 0), (7, [0.0, 1.0], 0), (7, [1.0, 0.0], 0), (8, [0.5, 0.0], 0), (200, [0.0, 1.0], 0), (200, [1.0, 0.0], 0), (200, [1.0, 0.0], 0)]
+
+
+def test_rows_that_repeat_an_id_are_all_candidates_and_queries(spark, tmp_path):
+    frame = spark.createDataFrame(REPEATED, SCHEMA)
+    got = by_query(mtree.top_k(frame, 3, 100))
+    assert got == plain(REPEATED, 3, 100, floored)
+    assert got[100] == [(7, 65536), (200, 65536), (200, 65536)] and len(got[200]) == 9
+    near = by_query(hash_forest.nearest(frame, 3, 100))
+    assert near == plain(REPEATED, 3, 100, dot, zero=False)
+    # and the DuckDB twin agrees
+    rows = vectors(60, 4, 9) + [(i % 20 * 5, v, 0) for i, v, _ in vectors(60, 4, 10)] + [(50, [0.5] * 4, 0)] * 9
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.execute(queries.ORACLES["op5_mtree_top_k"]).fetchall()
+    found = queries.QUERIES["op5_mtree_top_k"](spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, found)) == sorted(want)
 
 
 @pytest.mark.parametrize("page,leaf", [(4096, 64), (60, 5)])
@@ -76,7 +97,7 @@ def test_mtree_takes_large_components(spark, monkeypatch):
     want = {q: r for q, r in plain(rows, 5, 50, floored).items() if r}
     assert by_query(mtree.top_k(frame, 5, 50)) == want and want[0][0][0] >= 1000
     only = spark.createDataFrame(rows[-9:], SCHEMA)
-    assert by_query(mtree.top_k(only, 5, 50)) == {3000: want[3000]}
+    assert by_query(mtree.top_k(only, 5, 50)) == plain(rows[-9:], 5, 50, floored)
 
 
 @pytest.mark.parametrize("size", [1 << 19, 1 << 28, 1 << 40])
@@ -118,7 +139,7 @@ def test_forest_copies_and_blocks(spark, monkeypatch):
     want, got = plain(rows, 20, 20, dot, zero=False), by_query(hash_forest.nearest(frame, 20, 20))
     assert got.keys() == {q for q, r in want.items() if r}
     assert [i for i, _ in got[1000]] == list(range(1001, 1021))
-    assert [i for i, _ in got[100]] == [101, 102, 103] and [i for i, _ in got[200]] == [201]
+    assert [i for i, _ in got[100]] == [100, 100, 101, 101, 102, 102, 103, 103] and [i for i, _ in got[200]] == [201]
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in got)
     assert hits / sum(len(want[q]) for q in got) >= 0.9
 

@@ -15,8 +15,8 @@ as they are nearer: where the 20th neighbour is hardly nearer than the thousandt
 lose recall.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite parts take no part, nor
-do rows without an id; of rows with one id the smallest vector counts; vectors of different lengths
-aren't compared; equal vectors tie by id; no rows give no rows; extra columns are ignored.
+do rows without an id; rows that repeat an id are candidates and queries each, and leave out only
+themselves; vectors of different lengths aren't compared; equal vectors tie by id; no rows give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -83,8 +83,8 @@ def prefix_ranges(forest: dict, strings: np.ndarray, length: int) -> tuple[np.nd
     return first, last
 
 
-def search(forest: dict, q: np.ndarray, k: int, share: float) -> list[list[tuple[float, int]]]:
-    """Per query the k best (score, id) among its candidates."""
+def search(forest: dict, q: np.ndarray, k: int, share: float) -> list[list[tuple[float, tuple]]]:
+    """Per query the k best (score, holder) among its candidates."""
     x, ids = forest["x"], forest["ids"]
     # a vector counts once a tree, so this many hold k different ones at least
     enough = min(max(share * len(x), TREES * k), TREES * len(x))
@@ -126,7 +126,7 @@ def nearest(rows: DataFrame, k: int, every: int, share: float = SHARE, id_col: s
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         x = V.matrix(frame["vector"], np.float64)
-        forest = build_forest(x, [list(map(int, i)) for i in frame["ids"]], longest[x.shape[1]])
+        forest = build_forest(x, V.holders(frame), longest[x.shape[1]])
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "forest": [pickle.dumps(forest)]})
 
     forests = materialise(blocked.groupBy("block").applyInPandas(build, "block int, forest binary"))
@@ -144,9 +144,10 @@ def nearest(rows: DataFrame, k: int, every: int, share: float = SHARE, id_col: s
         if len(mine) and len(theirs):
             vids, q = pickle.loads(theirs["queries"].iloc[0])
             for vid, best in zip(vids.tolist(), search(pickle.loads(mine["forest"].iloc[0]), q, k + 1, share), strict=True):
-                found += [(vid, i, s) for s, i in best]
-        return pd.DataFrame(found, columns=["vid", "id", "score"]).astype({"vid": "int64", "id": "int64", "score": "float64"})
+                found += [(vid, *i, s) for s, i in best]
+        kinds = {"vid": "int64", "id": "int64", "row": "int64", "score": "float64"}
+        return pd.DataFrame(found, columns=list(kinds)).astype(kinds)
 
     left = V.pairs(forests, blocks, "block", query_blocks, "asked").groupBy("block", "asked")
     right = V.pairs(packed, query_blocks, "asked", blocks, "block").groupBy("block", "asked")
-    return V.ranked(left.cogroup(right).applyInPandas(look, "vid long, id long, score double"), queries, k)
+    return V.ranked(left.cogroup(right).applyInPandas(look, "vid long, id long, row long, score double"), queries, k)

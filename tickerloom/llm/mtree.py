@@ -43,6 +43,9 @@ ROUTES, SAMPLE = 32, 2048
 #: Floored components are below it; products of 512 of them are exact.
 LARGEST = 1 << 19
 
+#: What a search hands on: the query's vector, the row found (its id, its number), the score.
+FOUND, FOUND_SQL = ["vid", "id", "row", "score"], "vid long, id long, row long, score long"
+
 c = F.col
 
 
@@ -130,8 +133,8 @@ def _results(page: dict, vids: np.ndarray, q: np.ndarray, bound: np.ndarray, k:
     out = []
     for vid, score, row in zip(vids.tolist(), scores, rows, strict=True):
         mine = [(-int(s), i) for s, r in zip(score, row, strict=True) if r >= 0 for i in page["ids"][r]]
-        out += [(vid, i, -s) for s, i in sorted(mine)[: k + 1]]
-    return pd.DataFrame(out, columns=["vid", "id", "score"]).astype("int64")
+        out += [(vid, *i, -s) for s, i in sorted(mine)[: k + 1]]
+    return pd.DataFrame(out, columns=FOUND).astype("int64")
 
 
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -146,13 +149,13 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def compare_all(candidates: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """(vid, id, score): the best of ``candidates`` (vid, vector, dim, ids) for each of ``asked`` (vid, vector, dim), by blocks of both."""
+    """(vid, id, row, score): the best of ``candidates`` (vid, vector, dim, ids, rows) for each of ``asked`` (vid, vector, dim), by blocks of both."""
     left, left_blocks = V.blocks_of(candidates, c("dim").cast("long"), PAGE, 3)
     right, right_blocks = V.blocks_of(asked, c("dim").cast("long"), QUERIES, 4)
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vid")
-        ids = [list(map(int, i)) for i in frame["ids"]] if "ids" in frame else None
+        ids = V.holders(frame) if "ids" in frame else None
         packed = (frame["vid"].tolist(), V.matrix(frame["vector"], np.float64), ids)
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "packed": [pickle.dumps(packed)]})
 
@@ -164,14 +167,14 @@ def compare_all(candidates: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 for vid, scores in zip(vids[at : at + 64], exact_scores(q[at : at + 64], x), strict=True):
                     few = np.argsort(-scores, kind="stable")[: k + 1]
                     best = sorted((-int(scores[r]), i) for r in few for i in ids[r])[: k + 1]
-                    out += [(vid, i, -s) for s, i in best]
-        return pd.DataFrame(out, columns=["vid", "id", "score"]).astype("int64")
+                    out += [(vid, *i, -s) for s, i in best]
+        return pd.DataFrame(out, columns=FOUND).astype("int64")
 
     left = materialise(left.groupBy("block").applyInPandas(pack, "block int, packed binary"))
     right = materialise(right.groupBy("block").applyInPandas(pack, "block int, packed binary")).withColumnRenamed("block", "asked")
     spread = V.pairs(left, left_blocks, "block", right_blocks, "asked"), V.pairs(right, right_blocks, "asked", left_blocks, "block")
     one, two = (f.groupBy("block", "asked") for f in spread)
-    return one.cogroup(two).applyInPandas(look, "vid long, id long, score long")
+    return one.cogroup(two).applyInPandas(look, FOUND_SQL)
 
 
 def top_k(rows: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -179,7 +182,7 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "
     parts = F.transform("vector", lambda x: F.floor(x * scale))
     usable = materialise(V.usable(rows, id_col, vector_col))
     small = F.forall("vector", lambda x: F.abs(x) < LARGEST / scale)
-    ints = materialise(usable.filter(small).select("id", parts.cast("array<int>").alias("vector")))
+    ints = materialise(usable.filter(small).select("id", "row", parts.cast("array<int>").alias("vector")))
     once = materialise(V.held_once(ints, k))
     queries = materialise(V.query_rows(ints, once, every))
 
@@ -206,7 +209,7 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "
         frame = frame.sort_values("vid")
         route = int(frame["route"].iloc[0])
         x = V.matrix(frame["vector"], np.float64)
-        page = build_page(x, [list(map(int, i)) for i in frame["ids"]], routes[route // ROUTES][route % ROUTES])
+        page = build_page(x, V.holders(frame), routes[route // ROUTES][route % ROUTES])
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "page": [pickle.dumps(page)]})
 
     pages = materialise(routed.groupBy("block").applyInPandas(build, "block int, page binary"))
@@ -215,12 +218,11 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "
 
     def at_home(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         if not len(mine) or not len(theirs):
-            return pd.DataFrame({"vid": [], "id": [], "score": []}).astype("int64")
+            return pd.DataFrame([], columns=FOUND).astype("int64")
         q = V.matrix(theirs["vector"], np.float64)
         return _results(pickle.loads(mine["page"].iloc[0]), theirs["vid"].to_numpy(), q, np.full(len(q), -np.inf), k)
 
-    found = "vid long, id long, score long"
-    home = materialise(pages.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(at_home, found))
+    home = materialise(pages.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(at_home, FOUND_SQL))
     reached = home.groupBy("vid").agg(F.when(F.count("*") > k, F.min("score")).alias("bound"))
     bounded = asked.withColumnRenamed("block", "home").join(reached, "vid", "left")
     dealt, query_blocks = V.blocks_of(bounded, c("dim").cast("long"), QUERIES, 2)
@@ -237,7 +239,7 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "
             away = homes != mine["block"].iloc[0]
             if away.any():
                 return _results(pickle.loads(mine["page"].iloc[0]), vids[away], q[away], bound[away], k)
-        return pd.DataFrame({"vid": [], "id": [], "score": []}).astype("int64")
+        return pd.DataFrame([], columns=FOUND).astype("int64")
 
     page_dims: dict[int, tuple[int, int]] = {}
     for name, (start, n) in page_blocks.items():
@@ -245,14 +247,14 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "
         page_dims[name // ROUTES] = (lo, count + n)
     spread_pages = V.pairs(pages, page_dims, "block", query_blocks, "asked")
     spread_queries = V.pairs(packed, query_blocks, "asked", page_dims, "block")
-    far = spread_pages.groupBy("block", "asked").cogroup(spread_queries.groupBy("block", "asked")).applyInPandas(elsewhere, found)
+    far = spread_pages.groupBy("block", "asked").cogroup(spread_queries.groupBy("block", "asked")).applyInPandas(elsewhere, FOUND_SQL)
     best = home.unionByName(far)
 
     @F.pandas_udf("array<double>")
     def floors(vector: pd.Series) -> pd.Series:
         return vector.map(lambda v: np.floor(np.asarray(v, np.float64) * scale) + 0.0)
 
-    large = materialise(usable.filter(~small).select("id", floors("vector").alias("vector")))
+    large = materialise(usable.filter(~small).select("id", "row", floors("vector").alias("vector")))
     if large.isEmpty():
         return V.ranked(best, queries, k)
     large_once = materialise(V.held_once(large, k))

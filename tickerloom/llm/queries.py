@@ -59,16 +59,18 @@ _LISTED = "string_agg(concat(name, ':', start, ':', stop), ',' ORDER BY start, k
     f"""WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text, source FROM documents),
 {", ".join(_matches(k, *x) for k, x in enumerate(_KINDS))},
 every AS (SELECT * FROM m0 UNION ALL SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m3),
-held AS (SELECT value, count(DISTINCT coalesce(source, chr(1))) AS owners,
+held AS (SELECT value, count(DISTINCT coalesce(source, chr(1))) AS owners, count(DISTINCT {{'s': source, 'd': doc_id}}) AS repositories,
            bool_or(regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
              AND len(list_distinct(string_split(value, ''))) >= {secret_scan.LIVE_CHARS}) AS live
          FROM every JOIN docs USING (row_id) GROUP BY value),
-spans AS (SELECT e.*, owners, live FROM every e JOIN held USING (value)
-          WHERE kind < 3 OR (owners = 1 AND NOT EXISTS (
+spans AS (SELECT e.*, owners, repositories, live FROM every e JOIN held USING (value)
+          WHERE kind < 3 OR (owners = 1 AND repositories < {secret_scan.EXAMPLE_REPOSITORIES} AND NOT EXISTS (
             FROM every b WHERE b.row_id = e.row_id AND b.kind < 3 AND b.start < e.stop AND b.stop > e.start)))
 SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   sha256(coalesce({_LISTED} FILTER (kind < 3), '')) AS base_sha256, coalesce({_LISTED} FILTER (kind IS NOT NULL), '') AS spans,
-  count(*) FILTER (owners = 1 AND live) AS n_owner_specific, count(*) FILTER (owners >= {secret_scan.EXAMPLE_OWNERS}) AS n_copied_examples
+  count(*) FILTER (owners = 1 AND repositories < {secret_scan.EXAMPLE_REPOSITORIES} AND live) AS n_owner_specific,
+  count(*) FILTER (owners >= {secret_scan.EXAMPLE_OWNERS} OR repositories >= {secret_scan.EXAMPLE_REPOSITORIES}) AS n_copied_examples,
+  coalesce(max(repositories), 0) AS most_repositories
 FROM docs LEFT JOIN spans USING (row_id) GROUP BY row_id, doc_id""",
 )
 def op1(spark, sf_dir):
@@ -179,11 +181,11 @@ def op4(spark, sf_dir):
 
 @query(
     "op5_mtree_top_k",
-    """WITH usable AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    """WITH usable AS (SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-scored AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
-  FROM usable q JOIN usable x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+scored AS (SELECT q.row_id, q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+  FROM usable q JOIN usable x ON q.row_id <> x.row_id AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
 QUALIFY rank <= 5""",
 )
 def op5(spark, sf_dir):

@@ -1,10 +1,11 @@
 """Secret scans with corpus-wide ownership frequency [native].
 
 Candidates are found by pattern in every whole text. Their values are hashed, and each hash is counted
-over the corpus by distinct owners and distinct repositories. A value that many owners hold is a
-copied example; a live-looking value that a single owner holds is that owner's credential. The base
-kinds (assign, access, hex) are always reported; a bare token without a keyword beside it is added, as
-kind ``owned``, only if its hash belongs to one owner and the value looks live.
+over the corpus by distinct owners and distinct repositories. A value that many owners hold, or one
+that a single owner spread over many repositories, is a copied example; a live-looking value that a single owner
+holds in few repositories is that owner's credential. The base kinds (assign, access, hex) are always
+reported; a bare token without a keyword beside it is added, as kind ``owned``, only if it is an owner's
+credential.
 
 Positions come from ``split`` and ``regexp_extract_all`` by the same pattern: the pieces between the
 matches and the matches themselves tile the text, so running sums of their lengths are code point
@@ -34,8 +35,9 @@ TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "owned")
 #: Fewer distinct characters than this don't look like a credential.
 LIVE_CHARS = 10
-#: A value held by so many owners or more is a copied example.
-EXAMPLE_OWNERS = 3
+#: A value held by so many owners or more, or in so many repositories or more, is a copied example. An owner
+#: may well paste a live credential into a few places of their own, so the second bound is the wider one.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 10
 
 c = F.col
 
@@ -110,6 +112,16 @@ def ownership(found: DataFrame) -> DataFrame:
     )
 
 
+def owner_specific() -> Column:
+    """True for a value that one owner holds in few repositories."""
+    return (c("owners") == 1) & (c("repositories") < EXAMPLE_REPOSITORIES)
+
+
+def copied_example() -> Column:
+    """True for a value of many owners or many repositories."""
+    return (c("owners") >= EXAMPLE_OWNERS) | (c("repositories") >= EXAMPLE_REPOSITORIES)
+
+
 def spans(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
     """All spans to report, one row each (documents without one keep a row without a kind).
 
@@ -127,7 +139,7 @@ def spans(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
     after = F.min(F.when(base, c("start"))).over(W.partitionBy("id").orderBy(c("start").desc(), c("kind").desc()).rowsBetween(W.unboundedPreceding, 0))
     judged = judged.withColumns({"before": before, "after": after})
     apart = F.coalesce(c("before") <= c("start"), F.lit(True)) & F.coalesce(c("after") >= c("end"), F.lit(True))
-    added = (c("kind") == 3) & (c("owners") == 1) & apart
+    added = (c("kind") == 3) & owner_specific() & apart
     # others lose their span but keep the document's row
     keep = c("kind").isNotNull() & (base | added)
     blank = ["kind", "start", "end", "owners", "repositories", "live"]
@@ -141,7 +153,11 @@ def _joined(items: Column) -> Column:
 
 
 def scan(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
-    """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owner_specific, n_copied_examples."""
+    """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owner_specific, n_copied_examples, most_repositories.
+
+    The last three are of the reported spans: those of owner-specific live-looking values, those of copied
+    examples, and the most repositories that hold one of their values (0: no span).
+    """
     found = spans(docs, repository, owner)
     n = lambda when: F.count(F.when(when, 1)).cast("long")
     place = F.struct("start", "kind", "end")
@@ -149,13 +165,14 @@ def scan(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
         F.first("doc_id").alias("doc_id"),
         *(n(c("kind") == k).alias(f"n_{KINDS[k]}") for k in range(3)),
         F.collect_list(F.when(c("kind").isNotNull(), place)).alias("all"),
-        n((c("owners") == 1) & c("live")).alias("n_owner_specific"),
-        n(c("owners") >= EXAMPLE_OWNERS).alias("n_copied_examples"),
+        n(owner_specific() & c("live")).alias("n_owner_specific"),
+        n(copied_example()).alias("n_copied_examples"),
+        F.coalesce(F.max("repositories"), F.lit(0)).cast("long").alias("most_repositories"),
     )
     base = F.filter("all", lambda s: s["kind"] < 3)
     return grouped.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2(_joined(base), 256).alias("base_sha256"), _joined(c("all")).alias("spans"),
-        "n_owner_specific", "n_copied_examples",
+        "n_owner_specific", "n_copied_examples", "most_repositories",
     )
 
 

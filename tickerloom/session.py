@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickerloom.sinks import storage
+
+_handed_out: ContextVar[list[str] | None] = ContextVar("handed_out", default=None)
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -35,7 +42,27 @@ def scratch_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root.rstrip('/')}/tickerloom/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tickerloom/{uuid.uuid4().hex}"
+    if (folders := _handed_out.get()) is not None:
+        folders.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders handed out inside, on leaving.
+
+    Frames made inside read those folders: write what is still needed elsewhere before. A scope inside
+    another one deletes its own folders only.
+    """
+    folders: list[str] = []
+    token = _handed_out.set(folders)
+    try:
+        yield
+    finally:
+        _handed_out.reset(token)
+        for folder in folders:
+            storage.delete(spark, folder)
 
 
 def written_once(frame: DataFrame) -> DataFrame:

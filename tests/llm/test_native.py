@@ -92,6 +92,21 @@ def test_mask(odd_docs):
     assert masked.filter("doc_id = 9").first()["text"] == "x" * 20000
 
 
+def test_mask_keeps_rows_apart(spark):
+    """Equal texts are masked alike, in any row; null texts and rows without a match stay as they are."""
+    rows = [(1, "password=hunter2x", "a"), (2, "password=hunter2x", "b"), (2, "password=hunter2x", "b"), (3, "token=ab", "a"), (4, None, "a"), (4, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    masked = [(r["doc_id"], r["text"]) for r in secret_scan.mask(docs, F.col("doc_id"), F.col("source")).collect()]
+    assert sorted(masked, key=str) == sorted([(1, "[SECRET]"), (2, "[SECRET]"), (2, "[SECRET]"), (3, "token=ab"), (4, None), (4, "")], key=str)
+
+
+def test_mask_searches_texts_once(documents):
+    """Past the first write no text is searched again: documents without a match are told by their list of matches."""
+    masked = secret_scan.mask(documents, F.col("doc_id"), F.col("source"))
+    plan = masked._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "regexp_extract_all" not in plan
+
+
 def test_mix_meets_targets(documents):
     rows = mixing.mix(documents).collect()
     source = {r["doc_id"]: r["source"] for r in documents.collect()}
@@ -262,3 +277,10 @@ def test_round_trip_of_payloads(spark):
     assert records.filter("type = 'revisit' and payload <> ''").count() == 0
     got = Counter((r["page_id"], r["payload"]) for r in warc.restored(records).collect())
     assert got == Counter((p, h or "") for p, _, h in PAGES)
+
+
+def test_shard_column_keeps_others(odd_docs):
+    """A column named like the one that descends the tree keeps its values."""
+    out = sharding.with_shard(odd_docs, F.col("doc_id"), sharding.tree(TOPOLOGY), "shard")
+    assert sorted(map(str, out.select("doc_id", "shard_path").collect())) == sorted(map(str, odd_docs.select("doc_id", "shard_path").collect()))
+    assert out.filter("shard not between 0 and 7").count() == 0

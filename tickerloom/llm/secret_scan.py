@@ -65,26 +65,32 @@ def _tiles(kind: int, pattern: str, group: int) -> Column:
     return F.when(text.rlike(pattern), F.filter(tiles, lambda t: t["len"].isNotNull()))
 
 
+def _matches() -> Column:
+    """All kinds' matches in ``text``, with the pieces before them (a null text has none)."""
+    none = F.array().cast("array<struct<kind:int,turn:int,gap:int,len:int,value:string>>")
+    kinds = [_tiles(0, ASSIGN, 2), _tiles(1, ACCESS, 0), _tiles(2, HEX, 0), _tiles(3, TOKEN, 0)]
+    return F.concat(*(F.coalesce(k, none) for k in kinds))
+
+
 def candidates(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
-    """Every match in every document: id (of the row), doc_id, text_key, owner, repository, kind, start, end, value_hash, live.
+    """Every match in every document: id (of the row), doc_id, owner, repository, kind, start, end, value_hash, live.
 
     A document without any match has one row without a kind. Matches that fail their kind's check are
     gone: an assigned value has 6 characters, an access key 20, a token looks live.
     """
-    none = F.array().cast("array<struct<kind:int,turn:int,gap:int,len:int,value:string>>")
-    kinds = [_tiles(0, ASSIGN, 2), _tiles(1, ACCESS, 0), _tiles(2, HEX, 0), _tiles(3, TOKEN, 0)]
     slim = docs.select(
         "doc_id", F.coalesce(c("text"), F.lit("")).alias("text"), owner.cast("string").alias("owner"), repository.cast("string").alias("repository"),
         F.monotonically_increasing_id().alias("id"),
     )
-    found = slim.select(
-        "id", "doc_id", "owner", "repository", F.md5("text").alias("text_key"),
-        F.explode_outer(F.concat(*(F.coalesce(k, none) for k in kinds))).alias("m"),
-    ).select("id", "doc_id", "owner", "repository", "text_key", "m.*")
-    # the value itself isn't written anywhere, only its hash and what the checks need
+    return _checked(slim.select("id", "doc_id", "owner", "repository", F.explode_outer(_matches()).alias("m")))
+
+
+def _checked(found: DataFrame) -> DataFrame:
+    """The matches ``m`` that pass their kind's check, with their places."""
+    # the value itself isn't written here, only its hash and what the checks need
     found = materialise(
-        found.select(
-            "id", "doc_id", "owner", "repository", "text_key", "kind", "turn", "gap", "len",
+        found.select("id", "doc_id", "owner", "repository", "m.*").select(
+            "id", "doc_id", "owner", "repository", "kind", "turn", "gap", "len",
             F.sha2("value", 256).alias("value_hash"), F.length("value").alias("value_len"), looks_live(c("value")).alias("live"),
         )
     )
@@ -96,7 +102,7 @@ def candidates(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
     first = F.row_number().over(W.partitionBy("id").orderBy(kept.desc(), "kind", "turn")) == 1
     found = found.withColumns({"kept": kept, "first": first}).filter(c("kept") | c("first"))
     blank = ["kind", "start", "end", "value_hash", "live"]
-    return found.select("id", "doc_id", "owner", "repository", "text_key", *(F.when(c("kept"), c(n)).alias(n) for n in blank))
+    return found.select("id", "doc_id", "owner", "repository", *(F.when(c("kept"), c(n)).alias(n) for n in blank))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -127,7 +133,10 @@ def spans(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
 
     ``owners`` and ``repositories`` are those of the span's value. An added span overlaps no base span.
     """
-    found = materialise(candidates(docs, repository, owner))
+    return _judged(materialise(candidates(docs, repository, owner)))
+
+
+def _judged(found: DataFrame) -> DataFrame:
     known = ownership(found).select("value_hash", "owners", "repositories")
     held = c("value_hash").isNotNull()
     judged = found.filter(held).join(known, "value_hash", "left").drop("owner", "repository")
@@ -143,7 +152,7 @@ def spans(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
     # others lose their span but keep the document's row
     keep = c("kind").isNotNull() & (base | added)
     blank = ["kind", "start", "end", "owners", "repositories", "live"]
-    return judged.select("id", "doc_id", "text_key", *(F.when(keep, c(n)).alias(n) for n in blank))
+    return judged.select("id", "doc_id", *(F.when(keep, c(n)).alias(n) for n in blank))
 
 
 def _joined(items: Column) -> Column:
@@ -179,14 +188,18 @@ def scan(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
 def mask(docs: DataFrame, repository: Column, owner: Column, fill: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span replaced by ``fill`` and n_chars counted anew where texts changed.
 
-    Only documents that hold a candidate are joined with their spans; the others never move.
+    Texts are searched once: the documents are written with their matches beside them. Only those that
+    hold a match are joined with their spans, by the number of the row; the others never move.
     """
-    found = spans(docs, repository, owner).filter(c("kind").isNotNull())
-    key, cuts = (fresh(x, docs.columns) for x in ("text_key", "cuts"))
-    # a span depends on the text and on its value's owners, so equal texts have equal spans
-    lists = found.groupBy("text_key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(cuts)).withColumnRenamed("text_key", key)
-    hit = F.coalesce(c("text").rlike("|".join((ASSIGN, ACCESS, HEX, TOKEN))), F.lit(False))
-    joined = docs.filter(hit).withColumn(key, F.md5("text")).join(lists, key, "left")
+    row, matches, cuts = (fresh(x, docs.columns) for x in ("row", "matches", "cuts"))
+    marked = materialise(docs.withColumns({row: F.monotonically_increasing_id(), matches: _matches()}))
+    hit = F.size(matches) > 0
+    found = marked.filter(hit).select(
+        c(row).alias("id"), "doc_id", owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), F.explode(matches).alias("m")
+    )
+    found = _judged(materialise(_checked(found))).filter(c("kind").isNotNull())
+    lists = found.groupBy(c("id").alias(row)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(cuts))
+    joined = marked.filter(hit).join(lists, row, "left")
     state = F.aggregate(
         c(cuts),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a:int,b:int>>").alias("keep")),
@@ -203,4 +216,5 @@ def mask(docs: DataFrame, repository: Column, owner: Column, fill: str = "[SECRE
     joined = joined.withColumn("text", F.when(c(cuts).isNotNull(), text).otherwise(c("text")))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(c(cuts).isNotNull(), F.length("text").cast("long")).otherwise(c("n_chars")))
-    return docs.filter(~hit).unionByName(joined.select(*(c(f"`{n}`") for n in docs.columns)))
+    columns = [c(f"`{n}`") for n in docs.columns]
+    return marked.filter(~hit).select(*columns).unionByName(joined.select(*columns))

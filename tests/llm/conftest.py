@@ -10,7 +10,7 @@ def prose(seed: int, n: int) -> str:
     return " ".join(chosen.choice(WORDS) + str(chosen.randrange(40)) for _ in range(n))
 
 
-CLASHING = "key turn times size tie u id kind part position rank text_key cuts p group block start end k1 k2 fp root"
+CLASHING = "key turn times size tie u id kind part position rank text_key cuts p group block start end k1 k2 fp root row matches shard_path"
 
 ODD_ROWS = [
     (1, None, "en", "a", 0),

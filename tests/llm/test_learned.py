@@ -275,3 +275,11 @@ def test_repeats_odd_rows(odd_docs, no_docs):
     want = plain_repeats([r["text"] for r in rows], 400)
     assert repeats(odd_docs) == sorted((r["doc_id"] is None, r["doc_id"] or 0, *w) for r, w in zip(rows, want, strict=True))
     assert repeats(no_docs) == []
+
+
+def test_too_many_languages(spark):
+    rows = [(i, f"some words {i}", f"l{i % 4}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(language_id.fit(docs, 4, 2, most_languages=4).languages) == 4
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language_id.fit(docs, 4, 2, most_languages=3)

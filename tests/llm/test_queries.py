@@ -1,5 +1,6 @@
 """Queries with a DuckDB twin, and the pipeline."""
 
+import os
 from collections import Counter, defaultdict
 
 import duckdb
@@ -10,6 +11,7 @@ import corpus_pipeline
 from tests.llm.test_learned import linked, plain_fingerprint
 from tests.llm.test_native import base_spans
 from tickerloom.llm import packing, queries
+from tickerloom.session import scratch_scope
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -61,6 +63,18 @@ def test_pipeline_on_odd_rows_and_none(spark, sf_dir, odd_docs, no_docs):
     assert no_docs.count() == 0
 
 
+def test_pipeline_leaves_no_scratch_folder(spark, sf_dir, tmp_path):
+    """Stages' own tables and inputs go as the run goes on, the last ones with the caller's scope."""
+    scratch = f"{spark.conf.get('spark.checkpoint.dir')}/tickerloom"
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    with scratch_scope(spark):
+        pieces = corpus_pipeline.run(spark, sf_dir)
+        held = set(os.listdir(scratch)) - before
+        pieces.write.parquet(str(tmp_path / "pieces"))
+    assert 1 <= len(held) < 10 and set(os.listdir(scratch)) <= before
+    assert spark.read.parquet(str(tmp_path / "pieces")).count() > 0
+
+
 def one_of_each_group(rows):
     """The first of each group of linked fingerprints, by id (null first), equal rows being one."""
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from tickerloom.session import scratch_dir
 
 
-def materialise(frame: DataFrame) -> DataFrame:
+def materialise(frame: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``frame`` to the shared scratch folder and read it back.
 
     It cuts the lineage, so that a lost executor never makes Spark compute a step a second time with
-    another outcome, and gives the planner the true size of the rows: a small table is broadcast by
-    Spark's own size check, a large one is not.
+    another outcome. The planner then knows the size of the files, which are compressed; sessions that
+    want broadcasts judged by the size of the rows set spark.sql.sources.fileCompressionFactor. The folder
+    is a new one that an enclosing ``scratch_scope`` deletes, or ``path``.
     """
     spark = frame.sparkSession
-    path = scratch_dir(spark)
+    path = path or scratch_dir(spark)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -33,6 +33,8 @@ from tickerloom.llm.common import fresh
 FEATURES = 1 << 15
 #: Documents of a language to fit the weights on, and to calibrate on.
 FIT_ROWS, CALIBRATION_ROWS = 500, 250
+#: More values of ``lang`` than this are taken for something else: a model holds weights for each.
+MOST_LANGUAGES = 1000
 EPOCHS = 3
 #: Follow-the-regularised-leader: learning rate, its smoothing, L1 and L2.
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 1e-4
@@ -161,9 +163,12 @@ def _document_frequencies(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def _drawn(labelled: DataFrame, n: int) -> DataFrame:
+def _drawn(labelled: DataFrame, n: int, most_languages: int) -> DataFrame:
     """(lang, turn, places, counts) of ``n`` documents of each language with the lowest hashes."""
-    per_language = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counted = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()
+    if len(counted) > most_languages:
+        raise ValueError(f"more than {most_languages} languages: lang doesn't hold labels")
+    per_language = {r["lang"]: r["n"] for r in counted}
     if not per_language:
         return None
     # a threshold on the hash leaves about twice as many rows as needed before they are ranked
@@ -187,10 +192,10 @@ def _drawn(labelled: DataFrame, n: int) -> DataFrame:
     return few.select("lang", "turn", "text").mapInPandas(work, "lang string, turn int, places binary, counts binary")
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> Model:
-    """A model of the non-null ``lang`` of (doc_id, text, lang)."""
+def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS, most_languages: int = MOST_LANGUAGES) -> Model:
+    """A model of the non-null ``lang`` of (doc_id, text, lang); ``most_languages`` values of it or a ValueError."""
     labelled = labelled.filter(c("lang").isNotNull()).select("doc_id", "text", c("lang").cast("string").alias("lang"))
-    drawn = _drawn(labelled, fit_rows + calibration_rows)
+    drawn = _drawn(labelled, fit_rows + calibration_rows, most_languages)
     if drawn is None:
         return Model([], np.zeros(FEATURES), np.zeros((FEATURES, 0)))
     rows = [(r["lang"], r["turn"], np.frombuffer(r["places"], "<i4"), np.frombuffer(r["counts"], "<i4")) for r in drawn.toLocalIterator()]

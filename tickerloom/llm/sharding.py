@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import materialise
+from tickerloom.llm.common import fresh, materialise
 
 
 @dataclass(frozen=True)
@@ -72,7 +72,7 @@ def _levels(root: Node) -> list[list[tuple[str, Node]]]:
 
 def with_shard(rows: DataFrame, key: Column, root: Node, out: str) -> DataFrame:
     """``rows`` with the shard of each row in ``out`` (int)."""
-    path = f"{out}_path"
+    path = fresh(f"{out}_path", rows.columns)
     frame = rows.withColumn(path, F.lit(""))
     key = F.coalesce(key.cast("string"), F.lit(""))
     for level in _levels(root):

@@ -4,8 +4,8 @@ Records are written and read by Spark's own text source, so archives can stand i
 reaches and a lost task is written again. The record terminator of the format (two CRLFs) is the
 writer's line separator. Every record of one set of archives starts with the same two lines, the
 version and a ``WARC-Warcinfo-ID`` drawn anew for the set; these lines are the reader's separator, as
-no payload written before can hold that id. So a large archive is read in splits and one record, not
-one file, is what a task holds.
+no payload written before can hold that id. Archives are gzip files, which aren't split: a task reads one
+as a stream and holds one record of it at a time, so the size of an archive is that of a writer's task.
 
 Revisits: records are read as headers only and meet by payload digest (counted on the map side, so
 copies by the third of a crawl fill no task). The digests with more than one record, and the record

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tickerloom.llm import language_id, mixing, packing, secret_scan, simhash
 from tickerloom.llm.common import materialise, table
 from tickerloom.llm.queries import tokenizer_path
+from tickerloom.session import scratch_dir, scratch_scope
+from tickerloom.sinks import storage
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages on ``documents``. What a stage wrote on the way goes once its result is written, its input too.
+
+    The rows returned read the last input and packing's own tables: a caller that has written them can leave
+    an enclosing ``scratch_scope``, which deletes those.
+    """
+    docs, kept = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        read, kept = kept, scratch_dir(spark)
+        with scratch_scope(spark):
+            docs = materialise(stage(spark, docs, sf_dir), kept)
+        if read is not None:
+            storage.delete(spark, read)
     return STAGES[-1][1](spark, docs, sf_dir)

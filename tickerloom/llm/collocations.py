@@ -24,6 +24,7 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -72,7 +73,7 @@ def sorted_places(symbols: np.ndarray, depth: int) -> np.ndarray:
         if bound * high >= 1 << 62:
             bound, key = len(symbols), np.unique(key, return_inverse=True)[1]
         key, bound = key * high + np.roll(symbols, -i), bound * high
-    return np.argsort(key, kind="stable")
+    return np.argsort(key)  # equal ones in any order: intervals of shorter phrases don't depend on it
 
 
 class Side:
@@ -81,11 +82,18 @@ class Side:
     def __init__(self, transform: np.ndarray):
         self.transform, self.n = transform.astype(np.int64), len(transform)
         self.begins = np.concatenate(([0], np.cumsum(np.bincount(self.transform))))
-        self.ranked = np.sort(self.transform * self.n + np.arange(self.n))  # rows of each symbol in order
+
+    @cached_property
+    def ranked(self) -> np.ndarray:
+        """Numbers of (symbol, row) in order."""
+        return np.sort(self.transform * self.n + np.arange(self.n))
 
     def before(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Occurrences of ``symbol`` in the transform before ``row``."""
-        return np.searchsorted(self.ranked, symbol * self.n + row) - self.begins[symbol]
+        asked = symbol * self.n + row
+        order, places = np.argsort(asked), np.empty(len(asked), np.int64)
+        places[order] = np.searchsorted(self.ranked, asked[order])  # in order, so neighbours are looked up together
+        return places - self.begins[symbol]
 
 
 def transforms(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,11 +106,10 @@ Keep = Callable[[np.ndarray, np.ndarray], np.ndarray]
 Known = Callable[[np.ndarray], np.ndarray]
 
 
-def extended(side: Side, lo: np.ndarray, other: np.ndarray, size: np.ndarray, keep: Keep) -> tuple[np.ndarray, ...]:
-    """Extensions of intervals on one side: (interval, symbol, new lo, new other, size).
+def counted(side: Side, lo: np.ndarray, size: np.ndarray, keep: Keep) -> tuple[np.ndarray, ...]:
+    """Extensions of intervals on one side: (interval, symbol, size, rows of the interval that smaller symbols extend).
 
-    ``lo`` and ``size`` are rows of ``side``, ``other`` the first rows in the other index. ``keep`` says which
-    (interval, symbol) to keep; piece marks never are.
+    ``lo`` and ``size`` are rows of ``side``. ``keep`` says which (interval, symbol) to keep; piece marks never are.
     """
     of = np.repeat(np.arange(len(lo)), size)
     rows = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(len(of))
@@ -114,7 +121,12 @@ def extended(side: Side, lo: np.ndarray, other: np.ndarray, size: np.ndarray, ke
     smaller = total - np.repeat(total[first], np.diff(np.append(first, len(of))))  # extensions by smaller symbols
     kept = symbol > 0
     kept[kept] = keep(of[kept], symbol[kept])
-    of, symbol, count, smaller = of[kept], symbol[kept], count[kept], smaller[kept]
+    return of[kept], symbol[kept], count[kept], smaller[kept]
+
+
+def extended(side: Side, lo: np.ndarray, other: np.ndarray, size: np.ndarray, keep: Keep) -> tuple[np.ndarray, ...]:
+    """:func:`counted` with the new intervals: (interval, symbol, new lo, new other, size); ``other`` are first rows in the other index."""
+    of, symbol, count, smaller = counted(side, lo, size, keep)
     return of, symbol, side.begins[symbol] + side.before(symbol, lo[of]), other[of] + smaller, count
 
 
@@ -123,11 +135,11 @@ class Names:
 
     BASE = 0x9E3779B97F4A7C15
 
-    def __init__(self, lang: str, words: list[str], bits: int):
+    def __init__(self, lang: str, words: list[bytes], bits: int):
         import xxhash
 
         self.mask = U((1 << bits) - 1)
-        self.words = np.array([0, *(xxhash.xxh3_64_intdigest(w.encode()) for w in words)], np.uint64)
+        self.words = np.fromiter(chain((0,), map(xxhash.xxh3_64_intdigest, words)), np.uint64, len(words) + 1)
         self.lang = U(xxhash.xxh3_64_intdigest(lang, 1))
 
     def right(self, total: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -153,14 +165,25 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").reshape(-1)
 
 
+def _spelled(words: list[bytes]) -> bytes:
+    """Compressed words, behind the length of their text; no word has a line feed."""
+    text = b"\n".join(words)
+    return len(text).to_bytes(8, "little") + pa.compress(text, codec=_ZSTD, asbytes=True)
+
+
+def _words(data: bytes) -> list[bytes]:
+    n = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], n, codec=_ZSTD, asbytes=True).split(b"\n") if n else []
+
+
 _INDEX = pa.schema([
-    ("lang", pa.string()), ("shard", pa.int64()), ("n", pa.int64()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
+    ("lang", pa.string()), ("shard", pa.int64()), ("n", pa.int64()), ("words", pa.binary()), ("counts", pa.binary()),
     ("forward", pa.binary()), ("reverse", pa.binary()),
 ])
 
 
 def index(docs: DataFrame, depth: int) -> DataFrame:
-    """One row per shard: lang, shard, n (symbols), words and their counts by id from 1, the two transforms."""
+    """One row per shard: lang, shard, n (symbols), words and their counts by id from 1, the two transforms, all packed."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[_Ids, list[np.ndarray]]] = {}
@@ -174,8 +197,8 @@ def index(docs: DataFrame, depth: int) -> DataFrame:
             shard += 1
             # numbered by task and turn: unique, and the same when a task runs again
             return pa.RecordBatch.from_pydict({
-                "lang": [lang], "shard": [shard], "n": [len(symbols)], "words": [[w.decode() for w in ids][1:]],
-                "counts": [np.bincount(symbols, minlength=len(ids))[1:].tolist()], "forward": [_packed(forward)], "reverse": [_packed(reverse)],
+                "lang": [lang], "shard": [shard], "n": [len(symbols)], "words": [_spelled(list(ids)[1:])],
+                "counts": [_packed(np.bincount(symbols, minlength=len(ids))[1:])], "forward": [_packed(forward)], "reverse": [_packed(reverse)],
             }, _INDEX)
 
         for batch in batches:
@@ -193,29 +216,43 @@ def index(docs: DataFrame, depth: int) -> DataFrame:
             yield row(lang)
 
     slim = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return slim.mapInArrow(work, "lang string, shard long, n long, words array<string>, counts array<long>, forward binary, reverse binary")
+    return slim.mapInArrow(work, "lang string, shard long, n long, words binary, counts binary, forward binary, reverse binary")
 
 
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for at in range(batch.num_rows):
-            yield batch.slice(at, 1).to_pylist()[0]
+            row = batch.slice(at, 1)
+            yield {n: x[0].values.to_numpy(zero_copy_only=False) if pa.types.is_list(x.type) else x[0].as_py() for n, x in zip(row.schema.names, row.columns, strict=True)}
+
+
+def word_counts(shards: DataFrame) -> DataFrame:
+    """(lang, part, n): each shard's words with their counts."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _index_rows(batches):
+            words = pa.array(_words(row["words"]), pa.binary()).cast(pa.string())
+            n = _unpacked(row["counts"], len(words)).astype(np.int64)
+            for at in range(0, len(words), ROWS):
+                part = words.slice(at, ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array([row["lang"]] * len(part)), part, pa.array(n[at : at + ROWS])], names=["lang", "part", "n"])
+
+    return shards.select("lang", "words", "counts").mapInArrow(work, "lang string, part string, n long")
 
 
 class _Phrases:
     """The phrases of an index row, from single words on: intervals, sizes and names."""
 
     def __init__(self, row: dict, bits: int):
-        self.names = Names(row["lang"], row["words"], bits)
-        self.forward, self.reverse = (Side(_unpacked(row[x], row["n"])) for x in ("forward", "reverse"))
+        self.texts = _words(row["words"])
+        self.names = Names(row["lang"], self.texts, bits)
+        self.reverse = Side(_unpacked(row["reverse"], row["n"]))
         words = np.arange(1, len(self.names.words))
         # a word's rows start at the same places in both indexes
-        self.front, self.back, self.size = self.forward.begins[words], self.reverse.begins[words], np.diff(self.reverse.begins)[words]
+        self.front = self.back = self.reverse.begins[words]
+        self.size = np.diff(self.reverse.begins)[words]
         self.sums, self.length = self.names.words[words], 1
 
-    def keys(self) -> np.ndarray:
-        return self.names.keys(self.sums)
-
     def grow(self, known: Known) -> tuple[np.ndarray, np.ndarray]:
         """Extend to the right, phrases of ``known`` names only; (phrase before, word) of each new phrase."""
         sums = lambda of, symbol: self.names.right(self.sums[of], symbol)
@@ -223,11 +260,20 @@ class _Phrases:
         self.sums, self.back, self.front, self.size, self.length = sums(of, symbol), back, front, size, self.length + 1
         return of, symbol
 
-    def to_the_left(self, known: Known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def to_the_right(self) -> tuple[np.ndarray, np.ndarray]:
+        """(name, count) of the right extensions, which nothing extends: their intervals aren't looked up."""
+        of, symbol, size, _ = counted(self.reverse, self.back, self.size, lambda of, _: np.ones(len(of), bool))
+        return self.names.keys(self.names.right(self.sums[of], symbol)), size
+
+    def to_the_left(self, forward: Side, known: Known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(phrase, word, count) of the left extensions of ``known`` names."""
         sums = lambda of, symbol: self.names.left(self.sums[of], symbol, self.length)
-        of, symbol, *_, size = extended(self.forward, self.front, self.back, self.size, lambda *x: known(self.names.keys(sums(*x))))
-        return of, symbol, size
+        return counted(forward, self.front, self.size, lambda *x: known(self.names.keys(sums(*x))))[:3]
+
+
+def _among(keys: np.ndarray) -> Known:
+    wanted = np.sort(keys)
+    return lambda found: wanted[np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)] == found
 
 
 def frequent_keys(shards: DataFrame, longest: int, least: int, bits: int = KEY_BITS) -> DataFrame:
@@ -236,15 +282,18 @@ def frequent_keys(shards: DataFrame, longest: int, least: int, bits: int = KEY_B
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _index_rows(batches):
             found = _Phrases(row, bits)
-            for _ in range(longest - 1):
-                found.grow(lambda keys: np.ones(len(keys), bool))
-                keys = found.keys()
+            for length in range(2, longest + 1):
+                if length < longest:
+                    found.grow(lambda keys: np.ones(len(keys), bool))
+                    keys, size = found.names.keys(found.sums), found.size
+                else:
+                    keys, size = found.to_the_right()
                 order = np.argsort(keys)  # neighbours alike make small rows
                 for at in range(0, len(order), ROWS):
                     some = order[at : at + ROWS]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(some), row["shard"]), keys[some], found.size[some])], names=["shard", "key", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(some), row["shard"]), keys[some], size[some])], names=["shard", "key", "n"])
 
-    every = shards.select("lang", "shard", "n", "words", "forward", "reverse").mapInArrow(work, "shard long, key long, n long")
+    every = shards.select("lang", "shard", "n", "words", "reverse").mapInArrow(work, "shard long, key long, n long")
     # a name has few rows of a shard, one but for collisions
     often = every.withColumn("every", F.sum("n").over(W.partitionBy("key"))).filter(c("every") >= least)
     return often.groupBy("shard").agg(F.collect_list("key").alias("keys"))
@@ -267,19 +316,19 @@ def phrases(shards: DataFrame, keys: DataFrame, longest: int, bits: int = KEY_BI
                 yield pa.RecordBatch.from_arrays([same[0], part, same[1], pa.array(n[at : at + ROWS])], names=["lang", "phrase", "side", "n"])
 
         for row in _index_rows(batches):
-            wanted = np.sort(np.array(row["keys"], np.int64))
-            known = lambda keys: wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys  # noqa: B023, E731
-            found, words = _Phrases(row, bits), pa.array(["", *row["words"]])
+            known, found = _among(row["keys"]), _Phrases(row, bits)
+            words = pa.array([b"", *found.texts], pa.binary()).cast(pa.string())
+            forward = Side(_unpacked(row["forward"], row["n"]))
             text = words.slice(1)
             while found.length < longest:
                 if found.length > 1:
-                    of, symbol, n = found.to_the_left(known)
+                    of, symbol, n = found.to_the_left(forward, known)
                     yield from rows(row["lang"], pc.binary_join_element_wise(words.take(pa.array(symbol)), text.take(pa.array(of)), " "), 1, n)
                 of, symbol = found.grow(known)
                 text = pc.binary_join_element_wise(text.take(pa.array(of)), words.take(pa.array(symbol)), " ")
                 yield from rows(row["lang"], text, 0, found.size)
 
-    return shards.join(keys, "shard").mapInArrow(work, "lang string, phrase string, side int, n long")
+    return shards.drop("counts").join(keys, "shard").mapInArrow(work, "lang string, phrase string, side int, n long")
 
 
 def scored(candidates: DataFrame, counts: DataFrame, scale: int) -> DataFrame:
@@ -304,8 +353,7 @@ def collocations(
 ) -> DataFrame:
     """Each language's ``top`` phrases: lang, rank, phrase, a, l, r, n, score, by score, count, phrase."""
     shards = materialise(index(docs, longest))
-    each = shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    words = materialise(each.groupBy("lang", c("w.words").alias("part")).agg(F.sum("w.counts").alias("n")))
+    words = materialise(word_counts(shards).groupBy("lang", "part").agg(F.sum("n").alias("n")))
     keys = materialise(frequent_keys(shards, longest, least, bits))
     sums = phrases(shards, keys, longest, bits).groupBy("lang", "phrase", "side").agg(F.sum("n").alias("n"))
     frequent = materialise(sums.filter(c("n") >= least))

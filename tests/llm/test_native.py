@@ -8,12 +8,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from tickerloom.llm import mixing, secret_scan, sharding, warc
-from tickerloom.llm.queries import TOPOLOGY
+from tickerloom.llm.queries import ORACLES, TOPOLOGY
 from tickerloom.session import scratch_dir
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -170,6 +171,23 @@ def test_mix_goes_on_past_long_documents(spark, rows_per_range, long):
         assert want == set(range(100)) and gap == 6000
 
 
+@pytest.mark.parametrize("seed", [0, 1, 2, 3])
+def test_the_mix_of_few_long_texts_equals_its_sql(spark, seed):
+    """Sources whose gap the filling draws don't settle: the query's SQL goes down the ranks too."""
+    chosen = random.Random(seed)
+    rows = []
+    for i in range(200):
+        source, n = chosen.choice(["a", "a", "b", "c", None]), chosen.choice([3, 5, 7, 30]) if i % 25 else 1500
+        rows.append((i, " ".join(["w"] * n), source))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    want = con.execute(f"SELECT doc_id, size, source_size, round(target, 6), taken FROM ({ORACLES['op3_pareto_mix']}) ORDER BY doc_id").fetchall()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).select("doc_id", "size", "source_size", F.round("target", 6), "taken").orderBy("doc_id")
+    assert [tuple(r) for r in got.collect()] == want
+
+
 def test_mix_odd_rows(odd_docs, no_docs):
     key = lambda r: tuple((x is None, x) for x in r)
     rows = mixing.mix(odd_docs).collect()

@@ -83,7 +83,7 @@ def op1(spark, sf_dir):
 
 @query(
     "op3_pareto_mix",
-    r"""WITH sizes AS (
+    r"""WITH RECURSIVE sizes AS (
   SELECT row_number() OVER () AS row_id, doc_id, source, tie, size, (('0x' || substr(md5(concat_ws('|', 'mix', coalesce(doc_id::VARCHAR, ''), tie)), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u
   FROM (SELECT doc_id, source, md5(coalesce(text, '')) AS tie, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents)),
 by_source AS (
@@ -110,8 +110,20 @@ pick1 AS (SELECT source, row_id, size FROM gaps0 WHERE p > 0 AND NOT fits AND si
 gaps1 AS (SELECT g.* REPLACE (gap - coalesce(k.size, 0) AS gap, fits OR g.row_id IS NOT DISTINCT FROM k.row_id AS fits) FROM gaps0 g LEFT JOIN pick1 k ON g.source IS NOT DISTINCT FROM k.source),
 pick2 AS (SELECT source, row_id, size FROM gaps1 WHERE p > 0 AND NOT fits AND size > 0 AND size <= gap QUALIFY ORDERED),
 gaps2 AS (SELECT g.* REPLACE (gap - coalesce(k.size, 0) AS gap, fits OR g.row_id IS NOT DISTINCT FROM k.row_id AS fits) FROM gaps1 g LEFT JOIN pick2 k ON g.source IS NOT DISTINCT FROM k.source),
-last AS (SELECT row_id FROM gaps2 WHERE p > 0 AND NOT fits AND size > 0 AND abs(gap - size) < gap QUALIFY ORDERED)
-SELECT doc_id, size, source_size, target, (size * (copies + fits::INT + (row_id IN (SELECT row_id FROM last))::INT))::BIGINT AS taken FROM gaps2""".replace(
+out AS MATERIALIZED (
+  SELECT source, row_id, size, gap, row_number() OVER (PARTITION BY source ORDER BY rank, doc_id NULLS FIRST, size, tie) AS pos
+  FROM gaps2 WHERE p > 0 AND NOT fits AND size > 0),
+walk AS (
+  SELECT source, gap, 0::BIGINT AS pos, NULL::BIGINT AS row_id, 0::BIGINT AS size FROM out GROUP BY source, gap
+  HAVING min(size) <= gap AND min(size) <= least(gap, min(abs(gap - size)))
+  UNION ALL SELECT w.source, w.gap - arg_min(o.size, o.pos), min(o.pos), arg_min(o.row_id, o.pos), arg_min(o.size, o.pos)
+  FROM walk w JOIN out o ON w.source IS NOT DISTINCT FROM o.source AND o.pos > w.pos AND o.size <= w.gap GROUP BY w.source, w.gap),
+walked AS (SELECT source, sum(size) AS words FROM walk GROUP BY source),
+gaps3 AS (
+  SELECT g.* REPLACE (gap - coalesce(words, 0) AS gap, fits OR row_id IN (SELECT row_id FROM walk WHERE row_id IS NOT NULL) AS fits)
+  FROM gaps2 g LEFT JOIN walked w ON g.source IS NOT DISTINCT FROM w.source),
+last AS (SELECT row_id FROM gaps3 WHERE p > 0 AND NOT fits AND size > 0 AND abs(gap - size) < gap QUALIFY ORDERED)
+SELECT doc_id, size, source_size, target, (size * (copies + fits::INT + (row_id IN (SELECT row_id FROM last))::INT))::BIGINT AS taken FROM gaps3""".replace(
         "ORDERED", "row_number() OVER (PARTITION BY source ORDER BY abs(gap - size), rank, doc_id NULLS FIRST, size, tie) = 1"
     ),
 )

@@ -20,21 +20,23 @@ def comma(expr: str) -> str:
     return f"concat('1,', {expr})"
 
 
+def pick(place: str, values: list[str]) -> str:
+    """The value at a place, from 0."""
+    return f"split_part('{','.join(values)}', ',', cast({place} + 1 as int))"
+
+
 SHIP_DAY = "cast(cast(l_shipdate as date) as string)"
 TOTAL = money("o_totalprice")
 ROOT = f"concat('T', {text('p_partkey - p_partkey % 2')})"
-# Suffix lists are cut from fixed-width text, one expression where a CASE would repeat per use.
-LISTED_SUFFIX = "rtrim(substr('.A   .PF.E.PR.E.DB  .WT.A.UN  .U   .P        .RT  ', cast(p_size % 10 * 5 + 1 as int), 5))"
+LISTED_SUFFIX = pick("p_size % 10", [".A", ".PF.E", ".PR.E", ".DB", ".WT.A", ".UN", ".U", ".P", "", ".RT"])
 LISTED = f"concat({ROOT}, {LISTED_SUFFIX})"
 NAMED = (
     "concat(p_name, case p_size % 7 when 0 then ' trust' when 1 then ' Class B' when 2 then ' class A REIT' "
     "when 3 then ' Fund' else '' end)"
 )
 VALUE = text(money("value"))
-QUOTED = (
-    "concat('T', cast(user_id * 2 as string), "
-    "rtrim(substr('-A.TO   .PR.E.TO.DB.V   .UN.TO  .V      .TO     -A.V    ', cast(event_id % 7 * 8 + 1 as int), 8)))"
-)
+QUOTED_SUFFIX = pick("event_id % 7", ["-A.TO", ".PR.E.TO", ".DB.V", ".UN.TO", ".V", ".TO", "-A.V"])
+QUOTED = f"concat('T', cast(user_id * 2 as string), {QUOTED_SUFFIX})"
 
 _statement_keys = {
     "Ticker": (

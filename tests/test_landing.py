@@ -2,6 +2,7 @@
 
 import datetime
 import gzip
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,30 @@ def test_matrices_have_their_own_periods(spark, tmp_path):
     assert sorted((r.ticker, r.tag, r.value) for r in rows) == [("NA", "Profit", 15.0), ("NA", 'Revenue, "net"', 1.0)]
 
 
+def test_bundled_matrices_are_those_of_single_files(spark, tmp_path):
+    texts = [("NA", "IS", 0, ',2024-12-31,TTM\n"Revenue, ""net""",1,2\nProfit,"1,5"\n'), ("7", "BS", 1, "tag,2023-12-31\r\nA\\b,é\r\n"), ("E", "BS", 2, "")]
+    for text in texts:
+        matrix(tmp_path / "single", *text)
+    landed = spark.createDataFrame(texts, "symbol string, stmt_type string, api_priority int, payload string")
+    landed.write.json(str(tmp_path / "bundled"))
+    cells = lambda name, **how: sorted(payloads.matrix_cells(files.read_statement_matrices(spark, str(tmp_path / name), **how)).collect())
+    assert cells("bundled", bundled=True) == cells("single") and len(cells("single")) == 5
+    (tmp_path / "bundled" / "cut.json").write_text('{"symbol":"X","payl')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed|FAILFAST"):
+        cells("bundled", bundled=True)
+
+
+def test_landed_matrices_are_few_files(spark, monkeypatch, tmp_path):
+    from workload import landed
+
+    monkeypatch.setattr(landed, "scratch_dir", lambda _: str(tmp_path / "scratch"))
+    rows = [(f"S{i}", "IS", i % 3, "2024-12-31", "T", str(i)) for i in range(60)]
+    table = SimpleNamespace(spark=spark, matrix=spark.createDataFrame(rows, "symbol string, stmt_type string, api_priority int, period_end string, tag string, value string"))
+    found = payloads.matrix_cells(landed.landed_matrices(table)).collect()
+    assert sorted((r.symbol, r.stmt_type, r.api_priority, r.period_end, r.tag, r.value) for r in found) == sorted(rows)
+    assert len(list((tmp_path / "scratch").rglob("part-*"))) <= 4  # not one per matrix
+
+
 def test_an_api_without_its_first_period_gives_nothing(spark):
     cells = [("S", "IS", 0, 1, "2022-12-31", "T", "1"), ("S", "IS", 1, 0, "2023-12-31", "T", "2"), ("S", "BS", 1, 0, "2023-12-31", "T", "3")]
     found = ca_financials.ca_financials(spark.createDataFrame([("S",)], "symbol string"), spark.createDataFrame(cells, schemas.STATEMENT_MATRIX))

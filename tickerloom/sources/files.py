@@ -147,11 +147,17 @@ def read_json_documents(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
 
 
-def read_statement_matrices(spark: SparkSession, path: str) -> DataFrame:
-    """Landed statement matrices, one file each, as whole texts in ``payload``.
+def read_statement_matrices(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
+    """Landed statement matrices as whole texts in ``payload``, one file each.
 
-    The folders ``symbol=../stmt_type=../api_priority=..`` say what a file holds.
+    The folders ``symbol=../stmt_type=../api_priority=..`` say what a file holds. That is a folder and a file
+    for each matrix, which the driver has to list; where they get many, land them ``bundled``: JSON files
+    with a matrix a line, in the fields ``symbol``, ``stmt_type``, ``api_priority`` and ``payload``. A line that
+    is broken fails the read.
     """
+    if bundled:
+        fields = "payload string, symbol string, stmt_type string, api_priority int"
+        return spark.read.schema(fields).json(path, mode="FAILFAST")
     schema = "value string, symbol string, stmt_type string, api_priority int"
     return spark.read.schema(schema).text(path, wholetext=True).withColumnRenamed("value", "payload")
 

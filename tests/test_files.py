@@ -130,3 +130,30 @@ def test_a_batch_reads_the_marks_not_the_target(spark, tmp_path):
     read = append.newer(frame).inputFiles()
     assert "last_seen" in plan and not any(target in path for path in read)
     assert append.newer(frame).count() == 0
+
+
+def test_files_that_landed_together_are_one_batch(spark, tmp_path):
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
+    tables.write_version(spark.createDataFrame([], schemas.STOCK_PRICES), target, "stock_prices")
+    _price_file(spark, landing, "x", [("A", "2024-01-01", "1"), ("B", "2024-01-05", "5")])
+    frame = _price_file(spark, landing, "y", [("A", "2024-01-02", "2")])
+    stream_gated_append(spark, landing, frame.schema, target, str(tmp_path / "cp"), ["ord"], files_per_batch=None).awaitTermination()
+    stored = spark.read.schema(schemas.STOCK_PRICES).parquet(target).collect()
+    assert sorted((r.symbol, str(r.latest_day), r.price) for r in stored) == [("A", "2024-01-02", 2.0), ("B", "2024-01-05", 5.0)]
+
+
+def test_the_stream_query_lands_by_several_tasks(spark, sf_dir, monkeypatch, tmp_path):
+    from workload import registry
+    from workload import tables as queries
+
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").limit(600)
+    lines.repartition(4, "l_orderkey").write.parquet(str(tmp_path / "several" / "lineitem.parquet"))
+    lines.coalesce(1).write.parquet(str(tmp_path / "one" / "lineitem.parquet"))
+    found = {}
+    for name in ("several", "one"):
+        root = tmp_path / f"scratch-{name}"
+        monkeypatch.setattr(queries, "scratch_dir", lambda _, root=root: str(root))
+        found[name] = sorted(registry.QUERIES["stream_gated_append"](spark, str(tmp_path / name)).collect(), key=str)
+        assert {int(p.name) for p in (root / "checkpoint" / "commits").iterdir() if p.name.isdigit()} == {0, 1, 2}
+    assert found["several"] == found["one"]
+    assert len(list((tmp_path / "scratch-several" / "landing").glob("*.csv"))) > 3

@@ -123,10 +123,16 @@ def _by_name(one: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def read_bulk_csv_stream(
-    spark: SparkSession, path: str, schema: StructType, files_per_batch: int, keys: tuple[str, ...] = ("Ticker",), sep: str = ";"
+    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None, keys: tuple[str, ...] = ("Ticker",), sep: str = ";"
 ) -> DataFrame:
-    """Bulk files as they land, in the form :func:`read_bulk_csv` gives them; a position is a column of the files."""
-    raw = spark.readStream.schema(schema).options(sep=sep, header=True, enforceSchema=False, maxFilesPerTrigger=files_per_batch).csv(path)
+    """Bulk files as they land, in the form :func:`read_bulk_csv` gives them; a position is a column of the files.
+
+    Without ``files_per_batch`` a batch takes all files that have landed.
+    """
+    reader = spark.readStream.schema(schema).options(sep=sep, header=True, enforceSchema=False)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    raw = reader.csv(path)
     texts = [f.name for f in schema.fields if f.dataType == StringType() and f.name not in keys]
     return raw.withColumns({name: missing_as_null(F.col(f"`{name}`")) for name in texts})
 

@@ -58,17 +58,19 @@ def stream_gated_append(
     checkpoint: str,
     position: list[str],
     exchange: str = "US",
-    files_per_batch: int = 100,
+    files_per_batch: int | None = 100,
     csv: bool = False,
 ) -> StreamingQuery:
     """Start the query over landed parquet, or bulk CSV, files; it stops when all of them are processed.
 
-    The target folder must exist. One writer per exchange is assumed.
+    The target folder must exist. One writer per exchange is assumed. With ``files_per_batch=None`` all files that
+    have landed are one batch, so a bulk dataset may be dealt out to any number of files.
     """
     if csv:
         landed = read_bulk_csv_stream(spark, landing, schema, files_per_batch)
     else:
-        landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+        reader = spark.readStream.schema(schema)
+        landed = (reader if files_per_batch is None else reader.option("maxFilesPerTrigger", files_per_batch)).parquet(landing)
     return (
         landed.writeStream.foreachBatch(GatedAppend(target_path, position, exchange, f"{checkpoint}/gate"))
         .option("checkpointLocation", checkpoint)

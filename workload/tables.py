@@ -281,14 +281,17 @@ def _batch(n: int, seen: str) -> str:
     "prices_bulk stored_us",
 )
 def _(t):
-    """Three bulk files land one after another; the target starts with rows that gate the first."""
+    """Three bulk datasets land one after another, each in several files; the target starts with rows that gate the first.
+
+    The stream is started again for each, so that it is one batch whatever the number of its files.
+    """
     root = scratch_dir(t.spark)
     landing, target = f"{root}/landing", f"{root}/stock_prices"
     rows = t.prices_bulk
+    tables.write_version(t.stored_us, target, "stock_prices")
     for n in range(3):
-        part = rows.where(c("ord") % 3 == n).coalesce(1)
+        part = rows.where(c("ord") % 3 == n)
         part.write.mode("append").option("sep", ";").option("header", True).csv(landing)
-    tables.write_version(t.stored_us, target, "stock_prices")
-    stream = stream_gated_append(t.spark, landing, rows.schema, target, f"{root}/checkpoint", POSITION, files_per_batch=1, csv=True)
-    stream.awaitTermination()
+        stream = stream_gated_append(t.spark, landing, rows.schema, target, f"{root}/checkpoint", POSITION, files_per_batch=None, csv=True)
+        stream.awaitTermination()
     return t.spark.read.schema(schemas.STOCK_PRICES).parquet(target).drop("inserted_at")

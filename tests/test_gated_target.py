@@ -3,6 +3,7 @@
 import datetime
 import glob
 import os
+import random
 
 import pyarrow.parquet as pq
 import pytest
@@ -256,6 +257,47 @@ def test_a_hot_day_sends_a_few_rows_per_task(spark):
     assert sent and max(sent) <= 4 * 2 * 2, sent
 
 
+def test_rows_without_a_time_are_ranked_once(spark):
+    rows = spark.range(0, 300, 1, 3).selectExpr(
+        "concat('S', id) as Ticker", "'2024-01-02' as Date", "case when id % 3 = 0 then '2024-01-02 10:00:00' end as DateTime", "'1' as Close", "id as ord"
+    )
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = bars.latest_with_previous(bars.bulk_bars(rows), ["ord"], timed=True)
+        assert found.count() == 300 and len(found.collect()) == 300
+        plan = found._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sent = [n.metrics().get("shuffleRecordsWritten").get().value() for n in nodes(plan) if n.nodeName() == "Exchange"]
+    assert max(sent) == 400, sent  # a hundred rows with a time twice, the others once
+
+
+def test_timed_bars_against_plain_python(spark):
+    rng = random.Random(11)
+    texts = [None, "", "1", "a\x1fb", "\\n", "\\s\\b", "\\", "2,5", "é"]
+    rows = []
+    for i in range(1500):
+        day = f"2024-01-{rng.randrange(1, 5):02d}"
+        time = None if rng.random() < 0.4 else f"{day} 1{rng.randrange(3)}:00:00"
+        rows.append((f"S{rng.randrange(60) * rng.randrange(2) + rng.randrange(40)}", day, time, *(rng.choice(texts) for _ in range(6)), rng.choice([None, i]), i))
+    columns = ["Ticker", "Date", "DateTime", "Open", "High", "Low", "Close", "Adj. Close", "Volume", "half", "ord"]
+    frame = spark.createDataFrame(rows, ", ".join(f"`{n}` {'long' if n in ('half', 'ord') else 'string'}" for n in columns)).repartition(5)
+    found = bars.latest_with_previous(bars.bulk_bars(frame), ["half", "ord"], timed=True).drop("previous_close").collect()
+    close = {r.symbol: r.previous_close for r in bars.latest_with_previous(bars.bulk_bars(frame), ["half", "ord"], timed=True).collect()}
+    want, before = {}, {}
+    place = lambda r: (r[1], -1 if r[9] is None else r[9], r[10])
+    for symbol in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == symbol]
+        best = max(own, key=lambda r: (r[1], r[2] is None, r[2] or "", place(r)))
+        want[symbol] = (best[1], best[2], *best[3:7], best[8], best[7])
+        landed = sorted(own, key=place, reverse=True)
+        text = (landed[1][6] if landed[1][6] is not None else landed[1][7]) if len(landed) > 1 else None
+        before[symbol] = {"1": 1.0, "2,5": 25.0}.get(text)
+    got = {r.symbol: (str(r.latest_day), None if r.as_of is None else str(r.as_of), r.Open, r.High, r.Low, r.Close, r.Volume, r["Adj. Close"]) for r in found}
+    assert got == want and close == before
+
+
 @pytest.mark.parametrize("build", [lambda t: us_prices.us_prices(t.prices_bulk, t.financials_stored, t.stored_us, ["ord"], "daily"), lambda t: statements.unpivot_tags(t.income, "IS")])
 def test_generated_methods_stay_short_enough_to_be_compiled(spark, sf_dir, build):
     from workload.registry import Tables

@@ -87,34 +87,66 @@ def latest_only(bars: DataFrame, position: list[str]) -> DataFrame:
     )
 
 
+#: Stands between the texts of a packed bar, and the codes for what a text may hold of it.
+_SEP, _CODES = "\x1f", (("\\", "\\b"), ("\x1f", "\\s"))
+
+
+def _packed(names: list[str]) -> Column:
+    """Texts as one text, which takes a third less room in a sort; nulls, separators and backslashes are coded."""
+
+    def coded(x: Column) -> Column:
+        for plain, code in _CODES:
+            x = F.replace(x, F.lit(plain), F.lit(code))
+        return F.coalesce(x, F.lit("\\n"))
+
+    return F.concat_ws(_SEP, *(coded(F.col(f"`{name}`")) for name in names))
+
+
+def _unpacked(packed: Column, names: list[str]) -> list[Column]:
+    """The texts of :func:`_packed`."""
+
+    def plain(x: Column) -> Column:
+        x = F.nullif(x, F.lit("\\n"))
+        for text, code in reversed(_CODES):
+            x = F.replace(x, F.lit(code), F.lit(text))
+        return x
+
+    texts = F.transform(F.split(packed, _SEP, -1), plain)
+    return [F.get(texts, F.lit(i)).alias(name) for i, name in enumerate(names)]
+
+
 def latest_with_previous(bars: DataFrame, position: list[str], timed: bool) -> DataFrame:
     """:func:`latest_bar` plus :func:`previous_close`.
 
-    Without bar times both follow the same order and share one ranking. With them the two orders
-    differ within a day, so every row is ranked in both, as two rows of one scan. Either ranking is cut to
-    two rows a symbol before the shuffle, however many bars a day has.
+    Without bar times both follow the same order and share one ranking. With them the two orders differ
+    among a day's rows that have a time, so those are ranked in both, as two rows of one scan; among rows
+    without a time the orders agree, and they are ranked once. Each ranking is cut to two rows a symbol
+    before the shuffle, however many bars a day has; the few rows left of a symbol settle both.
     """
-    close_text = F.coalesce(F.col("Close"), F.col("`Adj. Close`"))
-    bar, close = _whole_bar(), close_text
-    newest, older = F.col("age") == 1, F.col("age") == 2
-    if timed:
-        by_time, bar, close = F.col("by_time"), F.col("bar"), F.col("close")
-        both = F.array(
-            F.struct(F.lit(False).alias("by_time"), F.lit(None).cast("timestamp_ntz").alias("time"), F.lit(None).alias("bar"), close_text.alias("close")),
-            F.struct(F.lit(True).alias("by_time"), F.col("as_of").alias("time"), _whole_bar().alias("bar"), F.lit(None).alias("close")),
+    close = F.coalesce(F.col("Close"), F.col("`Adj. Close`"))
+    measures = [*OHLCV, "Adj. Close"]
+    if not timed:
+        newest, older = F.col("age") == 1, F.col("age") == 2
+        return (
+            last_two_bars(bars, position)
+            .groupBy("symbol")
+            .agg(F.max(F.when(newest, _whole_bar())).alias("bar"), F.max(F.when(older, close)).alias("close"))
+            .select("symbol", "bar.*", number(F.col("close")).alias("previous_close"))
         )
-        rows = bars.select("symbol", "latest_day", *position, F.explode(both).alias("way")).select("symbol", "latest_day", *position, "way.*")
-        order = [F.col("latest_day").desc(), F.col("time").desc_nulls_first(), *_landed_last(position)]
-        rows = top_per_key(rows, ["symbol", "by_time"], order, k=2, rank="age")
-        newest, older = newest & by_time, older & ~by_time
-    else:
-        rows = last_two_bars(bars, position)
-    return (
-        rows
-        .groupBy("symbol")
-        .agg(F.max(F.when(newest, bar)).alias("bar"), F.max(F.when(older, close)).alias("close"))
-        .select("symbol", "bar.*", number(F.col("close")).alias("previous_close"))
+    way, both, by_place, by_time = F.col("way"), F.lit(0), F.lit(1), F.lit(2)
+    ways = F.explode(F.when(F.col("as_of").isNull(), F.array(both)).otherwise(F.array(by_place, by_time)))
+    rows = bars.withColumn("way", ways).select(
+        "symbol", "way", "latest_day", F.when(way != by_place, F.col("as_of")).alias("as_of"), *position,
+        F.when(way != by_time, close).alias("close"), F.when(way != by_place, _packed(measures)).alias("texts"),
+    )
+    rows = top_per_key(rows, ["symbol", "way"], _latest_order(position), k=2)
+    place = F.when(way != by_time, F.struct("latest_day", *position, "close"))
+    time = F.when(way != by_place, F.struct("latest_day", F.col("as_of").isNull().alias("untimed"), "as_of", *position))
+    found = rows.groupBy("symbol").agg(
+        F.max(time).alias("newest"), F.max_by("texts", time).alias("texts"), F.sort_array(F.collect_list(place), asc=False).alias("landed")
     )
+    previous = F.get(F.col("landed"), F.lit(1))["close"]
+    return found.select("symbol", "newest.latest_day", "newest.as_of", *_unpacked(F.col("texts"), measures), number(previous).alias("previous_close"))
 
 
 def with_change(bars: DataFrame) -> DataFrame:

@@ -120,3 +120,16 @@ def test_pipeline_against_plain_python(spark, tmp_path):
         assert all(whole[4 * start : 4 * start + len(data)] == data for start, data in every[doc_id])
     places = sorted((p["sequence_id"] * 4096 + p["offset"], p["length"]) for p in pieces)
     assert places[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(places, places[1:]))
+
+
+def test_word_ids_are_kept_and_the_same_after_a_clearing(monkeypatch):
+    path = queries.tokenizer_path()
+    assert packing.word_ids(path) is packing.word_ids(path)
+    texts = ["The mots; naïve... un", "deux trois naïve x?!", "The un;\nquatre"]
+    want = [packing.WordIds(path).of(t) for t in texts]
+    monkeypatch.setattr(packing, "REMEMBERED", 6)
+    ids = packing.WordIds(path)
+    for _ in range(3):
+        ids["many"], ids["few"], ids["more"] = b"", b"", b""  # so that words are cleared before their pieces
+        assert [ids.of(t) for t in texts] == want
+        assert len(ids.pieces) > 1

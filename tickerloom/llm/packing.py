@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark import TaskContext
@@ -29,7 +30,7 @@ from tickerloom.llm.common import materialise
 
 #: Tokens in a row of pass one, at most.
 CHUNK = 1 << 15
-#: Words whose ids a task remembers, and how long such a word may be.
+#: Words, and pieces of words, whose ids a worker remembers, and how long such a word may be.
 REMEMBERED, REMEMBERED_CHARS = 1 << 19, 48
 
 c = F.col
@@ -84,10 +85,17 @@ class WordIds(dict):
     def of(self, text: str) -> bytes:
         if len(self) > REMEMBERED:
             self.clear()
+        if len(self.pieces) > REMEMBERED:  # words share pieces, so these are of use for longer
             self.pieces = {"": b""}
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The words of a tokenizer, kept by a Python worker from task to task."""
+    return WordIds(path)
+
+
 def tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Pass one: (doc_id, doc_tokens, start, part, position, ids), a row for each ``CHUNK`` tokens of a document.
 
@@ -96,7 +104,7 @@ def tokens(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     end = end_id.to_bytes(4, "little")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, part, position = WordIds(tokenizer_path), TaskContext.get().partitionId(), 0
+        words, part, position = word_ids(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
